@@ -1,8 +1,8 @@
 r"""Lists of objects held as Python-literal text, parsed without a Python worker.
 
 The text is turned into JSON and read by ``from_json``. Keywords are rewritten
-only outside quotes and escapes only inside them, and each rewrite is guarded by
-one regex test, so a plain cell goes straight to the JSON parser. Everything that
+only outside quotes, and each rewrite is guarded by a substring or regex test, so
+a plain cell goes straight to the JSON parser. Everything that
 printing a Python list of dictionaries can produce is covered; named
 ``\N{...}`` escapes, which printing never produces, need ``exact=True``.
 """
@@ -16,37 +16,58 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EMPTY_LIST = "[]"
-LIST_SHAPE = r"(?s)^\[.*\]$"
+from gildmill.functions.text import stepwise
 
-# A quoted string, a run outside quotes, or a stray quote (possessive: no backtracking).
-_TOKEN = r"""(?s)('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"])"""
-_KEYWORD = r"\b(None|True|False)\b"
+EMPTY_LIST = "[]"
+_BLANKS = " \t\r\n"
+
+# Quoted strings (possessive: linear and without deep recursion).
+_QUOTED = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+# Python keywords and their JSON forms.
+_KEYWORDS = {"None": "null", "True": "true", "False": "false"}
+# An even run of backslashes before the one that starts an escape.
+_EVEN = r"(?<!\\)((?:\\\\)*+)"
+_HEX_ESCAPE = _EVEN + r"\\x([0-9a-fA-F]{2})"
+_OTHER_ESCAPE = r"""(?s)""" + _EVEN + r"""\\[^'"\\nrtbfu]"""
 # One escape sequence, or a run without backslashes.
-_ESCAPE = r"(?s)(\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}|\\[0-7]{1,3}|\\.|[^\\]++|\\)"
-_NEEDS_ESCAPE = r"""(?s)\\[^'"\\nrtbfu]"""
+_ESCAPE = r"(?s)(\\U[0-9a-fA-F]{8}|\\[0-7]{1,3}|\\.|[^\\]++|\\)"
 _JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
 
+def _trimmed(c: Column) -> Column:
+    return F.btrim(c, F.lit(_BLANKS))
+
+
+def _bracketed(t: Column) -> Column:
+    return t.startswith("[") & t.endswith("]") & (F.length(t) > 1)
+
+
 def validate_list_text(c: Column) -> Column:
     """The text when it is bracketed, else the empty list."""
-    t = F.trim(c)
-    return F.when(t.rlike(LIST_SHAPE), t).otherwise(F.lit(EMPTY_LIST))
+    t = _trimmed(c)
+    return F.when(_bracketed(t), t).otherwise(F.lit(EMPTY_LIST))
 
 
 def repair_list_text(c: Column) -> Column:
     """Add lost brackets and keep the complete objects of a truncated list."""
-    t = F.trim(c)
+    t = _trimmed(c)
     complete = F.regexp_extract(F.regexp_replace(t, r"^\[", ""), r"(?s)^(.*\})", 1)
-    return F.when(t.rlike(LIST_SHAPE), t).otherwise(
+    return F.when(_bracketed(t), t).otherwise(
         F.concat(F.lit("["), F.coalesce(complete, F.lit("")), F.lit("]"))
     )
 
 
-def _keywords_to_json(token: Column) -> Column:
-    for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        token = F.regexp_replace(token, rf"\b{python}\b", json)
-    return token
+def _keyword_to_json(python: str, json: str):
+    """Replace one keyword outside quotes; each match starts where the last one ended."""
+    head, tail = python[0], python[1:]
+    passed = rf"""(?s)\G((?:[^'"{head}]++|{_QUOTED}|{head}(?!{tail}\b))*+){python}"""
+    return lambda t: F.when(t.contains(python), F.regexp_replace(t, passed, f"$1{json}")).otherwise(
+        t
+    )
+
+
+def _hex_to_json(t: Column) -> Column:
+    return F.when(t.contains("\\x"), F.regexp_replace(t, _HEX_ESCAPE, r"$1\\u00$2")).otherwise(t)
 
 
 def _escape_to_json(token: Column) -> Column:
@@ -58,32 +79,32 @@ def _escape_to_json(token: Column) -> Column:
             token.rlike(r"^\\U00(0[1-9a-fA-F]|10).{4}$"),
             F.decode(F.unhex(code), "UTF-32"),
         )
-        .when(token.rlike(r"^\\x..$"), F.concat(F.lit("\\u00"), F.substring(token, 3, 2)))
         .when(
             token.rlike(r"^\\[0-7]"),
             F.concat(F.lit("\\u"), F.lpad(F.conv(F.substring(token, 2, 3), 8, 16), 4, "0")),
         )
         .when(token == "\\a", F.lit("\\u0007"))
         .when(token == "\\v", F.lit("\\u000b"))
-        .when(token.rlike(_NEEDS_ESCAPE), F.concat(F.lit("\\"), token))
+        .when(token.rlike(r"""(?s)^\\[^'"\\nrtbfu]"""), F.concat(F.lit("\\"), token))
         .otherwise(token)
     )
 
 
+def _escapes_to_json(t: Column) -> Column:
+    tokens = F.transform(F.regexp_extract_all(t, F.lit(_ESCAPE), F.lit(1)), _escape_to_json)
+    return (
+        F.when(~t.contains("\\"), t)
+        .when(t.rlike(_OTHER_ESCAPE), F.array_join(tokens, ""))
+        .otherwise(t)
+    )
+
+
+_TO_JSON = [*[_keyword_to_json(p, j) for p, j in _KEYWORDS.items()], _hex_to_json, _escapes_to_json]
+
+
 def literal_to_json(c: Column) -> Column:
     """Python-literal text as JSON text (single quotes are left to the parser)."""
-    keywords = F.array_join(
-        F.transform(
-            F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(1)),
-            lambda t: F.when(t.rlike("^['\"]"), t).otherwise(_keywords_to_json(t)),
-        ),
-        "",
-    )
-    c = F.when(c.rlike(_KEYWORD), keywords).otherwise(c)
-    escapes = F.array_join(
-        F.transform(F.regexp_extract_all(c, F.lit(_ESCAPE), F.lit(1)), _escape_to_json), ""
-    )
-    return F.when(c.rlike(_NEEDS_ESCAPE), escapes).otherwise(c)
+    return stepwise(c, *_TO_JSON)
 
 
 def _exact_parser(element: T.StructType):
@@ -118,18 +139,22 @@ def parse_list_text(c: Column, fields: list[str], exact: bool = False) -> Column
     as nulls.
     """
     element = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    lists = T.ArrayType(element)
+
+    def read(json: Column) -> Column:
+        typed = F.from_json(json, lists, _JSON_OPTIONS)
+        mixed = F.transform(
+            F.from_json(json, T.ArrayType(T.StringType()), _JSON_OPTIONS),
+            lambda e: F.from_json(e, element, _JSON_OPTIONS),
+        )
+        return F.coalesce(typed, mixed)
+
     gated = validate_list_text(c)
-    json = literal_to_json(gated)
-    typed = F.from_json(json, T.ArrayType(element), _JSON_OPTIONS)
-    mixed = F.transform(
-        F.from_json(json, T.ArrayType(T.StringType()), _JSON_OPTIONS),
-        lambda e: F.from_json(e, element, _JSON_OPTIONS),
-    )
-    parsed = F.coalesce(typed, mixed)
+    parsed = stepwise(gated, *_TO_JSON, read)
     if exact:
         odd = F.when(parsed.isNull() | gated.rlike(r"\\N\{"), gated)
         parsed = F.when(odd.isNotNull(), _exact_parser(element)(odd)).otherwise(parsed)
-    return F.coalesce(parsed, F.array().cast(T.ArrayType(element)))
+    return F.coalesce(parsed, F.array().cast(lists))
 
 
 def names_of(items: Column, field: str = "name") -> Column:

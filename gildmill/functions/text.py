@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,6 +23,18 @@ SNIPPET_MARKER = "..."
 NO_OVERVIEW = "(no overview available)"
 
 
+def stepwise(c: Column, *steps: Callable[[Column], Column]) -> Column:
+    """Apply ``steps`` in turn, computing each intermediate value once.
+
+    A step that names its input several times would otherwise repeat the whole
+    expression before it; a lambda variable holds the computed value.
+    """
+    held = F.array(c)
+    for step in steps:
+        held = F.transform(held, step)
+    return F.get(held, F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
@@ -43,7 +56,11 @@ def _reread_as_utf8(c: Column) -> Column:
     as_bytes = F.translate(c, CP1252_CHARS, CP1252_BYTES)
     reread = F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string"))
     fits_one_byte = ~as_bytes.rlike(r"[^\x00-\xFF]")
-    return F.when(fits_one_byte, F.coalesce(reread, c)).otherwise(c)
+    return (
+        F.when(~c.rlike(_MISREAD), c)
+        .when(fits_one_byte, F.coalesce(reread, c))
+        .otherwise(c)
+    )
 
 
 def repair_mojibake(c: Column, passes: int = 2) -> Column:
@@ -54,9 +71,7 @@ def repair_mojibake(c: Column, passes: int = 2) -> Column:
     regex scan; only suspicious values are translated. Two passes also restore
     text that was misread twice.
     """
-    for _ in range(passes):
-        c = F.when(c.rlike(_MISREAD), _reread_as_utf8(c)).otherwise(c)
-    return c
+    return stepwise(c, *[_reread_as_utf8] * passes)
 
 
 def clean_text(c: Column, repair: bool = True, strip_non_ascii: bool = False) -> Column:
