@@ -10,6 +10,7 @@ printing a Python list of dictionaries can produce is covered; named
 from __future__ import annotations
 
 import ast
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -42,19 +43,23 @@ def _bracketed(t: Column) -> Column:
     return t.startswith("[") & t.endswith("]") & (F.length(t) > 1)
 
 
+def _bracketed_or(other: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda t: F.when(_bracketed(t), t).otherwise(other(t))
+
+
 def validate_list_text(c: Column) -> Column:
     """The text when it is bracketed, else the empty list."""
-    t = _trimmed(c)
-    return F.when(_bracketed(t), t).otherwise(F.lit(EMPTY_LIST))
+    return stepwise(_trimmed(c), _bracketed_or(lambda t: F.lit(EMPTY_LIST)))
+
+
+def _complete_objects(t: Column) -> Column:
+    complete = F.regexp_extract(F.regexp_replace(t, r"^\[", ""), r"(?s)^(.*\})", 1)
+    return F.concat(F.lit("["), F.coalesce(complete, F.lit("")), F.lit("]"))
 
 
 def repair_list_text(c: Column) -> Column:
     """Add lost brackets and keep the complete objects of a truncated list."""
-    t = _trimmed(c)
-    complete = F.regexp_extract(F.regexp_replace(t, r"^\[", ""), r"(?s)^(.*\})", 1)
-    return F.when(_bracketed(t), t).otherwise(
-        F.concat(F.lit("["), F.coalesce(complete, F.lit("")), F.lit("]"))
-    )
+    return stepwise(_trimmed(c), _bracketed_or(_complete_objects))
 
 
 def _keyword_to_json(python: str, json: str):

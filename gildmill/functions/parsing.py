@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gildmill.functions.text import stepwise
+
 # Accepted shapes.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
@@ -29,35 +31,45 @@ def dotted_to_dashed(c: Column) -> Column:
 
 def parse_iso_date(c: Column) -> Column:
     """``1995-10-30`` and ``1995.10.30``; anything else is null."""
-    t = dotted_to_dashed(c)
-    return F.when(t.rlike(ISO_DAY), t.try_cast("date"))
-
+    return stepwise(
+        dotted_to_dashed(c), lambda t: F.when(t.rlike(ISO_DAY), t.try_cast("date"))
+    )
 
-def parse_date(c: Column) -> Column:
-    """ISO, dotted, US ``M/d/y``, European ``d-M-y`` and ``Month d, y`` dates.
 
-    The separator decides the order, so one pattern applies to each value.
-    """
-    t = dotted_to_dashed(F.trim(c))
-    iso = F.regexp_replace(t, ISO_DATE_TIME, "$1")
+def _day_of(t: Column) -> Column:
     return (
-        F.when(iso.rlike(ISO_DAY_LOOSE), iso.try_cast("date"))
+        F.when(t.rlike(ISO_DAY_LOOSE), t.try_cast("date"))
         .when(t.rlike(US_DAY), F.regexp_replace(t, US_DAY, "$3-$1-$2").try_cast("date"))
         .when(t.rlike(EU_DAY), F.regexp_replace(t, EU_DAY, "$3-$2-$1").try_cast("date"))
         .when(t.rlike(MONTH_NAME_DAY), F.try_to_date(t, MONTH_NAME_FORMAT))
+        .when(t.rlike(ISO_DATE_TIME), F.regexp_extract(t, ISO_DATE_TIME, 1).try_cast("date"))
     )
 
 
+def parse_date(c: Column) -> Column:
+    """ISO, dotted, US ``M/d/y``, European ``d-M-y`` and ``Month d, y`` dates.
+
+    The separator decides the order, so one pattern applies to each value.
+    """
+    return stepwise(dotted_to_dashed(F.trim(c)), _day_of)
+
+
+def _number_of(t: Column) -> Column:
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+
+
 def parse_number(c: Column) -> Column:
     """Plain decimal text to double; ``NaN``, ``Infinity`` and ``12f`` are null."""
-    t = F.trim(c.cast("string"))
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return stepwise(F.trim(c.cast("string")), _number_of)
+
 
+def _bounded(default: float | None, minimum: float | None):
+    def apply(v: Column) -> Column:
+        if minimum is not None:
+            v = F.when(v >= minimum, v)
+        return v if default is None else F.coalesce(v, F.lit(float(default)))
 
-def _with_default(v: Column, default: float | None, minimum: float | None) -> Column:
-    if minimum is not None:
-        v = F.when(v >= minimum, v)
-    return v if default is None else F.coalesce(v, F.lit(float(default)))
+    return apply
 
 
 def parse_currency(
@@ -65,7 +77,21 @@ def parse_currency(
 ) -> Column:
     """Amounts with ``$``, grouping commas and spaces."""
     bare = F.regexp_replace(c.cast("string"), r"[\$,\s]", "")
-    return _with_default(parse_number(bare), default, minimum)
+    return stepwise(bare, _number_of, _bounded(default, minimum))
+
+
+def _amount_parts(t: Column) -> Column:
+    euro = t.contains("€") | t.rlike(r"EUR\s*$")
+    body = F.regexp_replace(t, r"[^0-9.,\-]", "")
+    return F.when(t.rlike(AMOUNT), F.struct(euro.alias("euro"), body.alias("body")))
+
+
+def _plain_amount(parts: Column) -> Column:
+    body = parts["body"]
+    dots_group = (
+        body.rlike(r"\..*[,.]") | (parts["euro"] & body.rlike(r"(^-?\d{1,3}\.\d{3}|,\d{1,2})$"))
+    )
+    return F.when(dots_group, F.translate(body, ",.", ".")).otherwise(F.translate(body, ",", ""))
 
 
 def parse_currency_intl(
@@ -77,41 +103,32 @@ def parse_currency_intl(
     comma, when there are several dots, or when a euro amount ends in ``.ddd``
     or ``,d``/``,dd``. Otherwise commas group. A lone ``1.500`` stays decimal.
     """
-    text = c.cast("string")
-    body = F.regexp_replace(text, r"[^0-9.,\-]", "")
-    euro = text.contains("€") | text.rlike(r"EUR\s*$")
-    dots_group = (
-        body.rlike(r"\..*,")
-        | body.rlike(r"\..*\.")
-        | (euro & body.rlike(r"(^-?\d{1,3}\.\d{3}|,\d{1,2})$"))
-    )
-    plain = F.when(dots_group, F.translate(body, ",.", ".")).otherwise(
-        F.translate(body, ",", "")
-    )
-    value = F.when(text.rlike(AMOUNT), parse_number(plain))
-    return _with_default(value, default, minimum)
+    steps = [_amount_parts, _plain_amount, _number_of, _bounded(default, minimum)]
+    return stepwise(c.cast("string"), *steps)
 
 
 def positive_or_null(c: Column) -> Column:
-    v = parse_number(c)
-    return F.when(v > 0, v)
+    return stepwise(F.trim(c.cast("string")), _number_of, lambda v: F.when(v > 0, v))
 
 
 def plausible(v: Column, low: float, high: float) -> Column:
     """The number when inside the closed range, else null."""
-    return F.when(v.between(low, high), v)
+    return stepwise(v, lambda x: F.when(x.between(low, high), x))
 
 
 def normalize_id(c: Column) -> Column:
     """Text id without a float tail: ``862.0`` becomes ``862``; blank becomes null."""
-    bare = F.regexp_replace(F.trim(c.cast("string")), r"\.0+$", "")
-    return F.nullif(bare, F.lit(""))
+    t = F.trim(c.cast("string"))
+    bare = F.when(t.endswith("0"), F.regexp_replace(t, r"\.0+$", "")).otherwise(t)
+    return F.when(t != "", bare)
 
 
 def imdb_id(c: Column) -> Column:
     """``tt`` and the digits padded to seven; longer numbers keep all digits."""
-    digits = F.regexp_replace(normalize_id(c), "^tt", "")
-    return F.concat(F.lit("tt"), F.lpad(digits, F.greatest(F.lit(7), F.length(digits)), "0"))
+    return stepwise(
+        F.regexp_replace(normalize_id(c), "^tt", ""),
+        lambda d: F.concat(F.lit("tt"), F.lpad(d, F.greatest(F.lit(7), F.length(d)), "0")),
+    )
 
 
 def rfc3339_date(c: Column) -> Column:

@@ -100,16 +100,17 @@ def join_text(*parts: Column) -> Column:
 
 def snippet(c: Column, width: int = SNIPPET_WIDTH, empty: str = NO_OVERVIEW) -> Column:
     """At most ``width`` characters, cut between words and marked with dots."""
-    flat = collapse_whitespace(c)
     room = width - len(SNIPPET_MARKER)
-    cut = F.concat(
-        F.regexp_extract(flat, rf"^(.{{0,{room}}})(?= )", 1), F.lit(SNIPPET_MARKER)
-    )
-    return (
-        F.when(flat.isNull() | (flat == ""), F.lit(empty))
-        .when(F.length(flat) <= width, flat)
-        .otherwise(cut)
-    )
+
+    def card(flat: Column) -> Column:
+        words = F.regexp_extract(flat, rf"^(.{{0,{room}}})(?= )", 1)
+        return (
+            F.when(flat.isNull() | (flat == ""), F.lit(empty))
+            .when(F.length(flat) <= width, flat)
+            .otherwise(F.concat(words, F.lit(SNIPPET_MARKER)))
+        )
+
+    return stepwise(collapse_whitespace(c), card)
 
 
 def any_of(conditions: list[Column]) -> Column:

@@ -87,8 +87,10 @@ def cosine_native(c: Column, query: Sequence[float]) -> Column:
 
 def top_k(df: DataFrame, score: str, tie: list[str], k: int = DEFAULT_LIMIT) -> DataFrame:
     """The ``k`` best rows, each task keeping its own ``k``; ``rank`` counts from 1."""
-    order = [F.col(score).desc(), *[F.col(t).asc() for t in tie]]
-    best = df.where(F.col(score).isNotNull()).orderBy(*order).limit(k)
+    order = [F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in tie]]
+    # Unscored rows sort last and leave after the cut: an earlier filter would be
+    # pushed below the score and compute it twice.
+    best = df.orderBy(*order).limit(k).where(F.col(score).isNotNull())
     return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 

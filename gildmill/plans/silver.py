@@ -91,10 +91,13 @@ def clean_child(
 def clean_facts(
     df: DataFrame, keys: list[str], value: str, low: float, high: float
 ) -> DataFrame:
-    """Ratings: text keys, a value in the closed range, equal rows once."""
+    """Ratings: text keys, a value in the closed range, equal rows once.
+
+    A null value fails the range test, so only the keys need the null test.
+    """
     df = df.withColumns({k: parsing.normalize_id(F.col(k)) for k in keys})
     df = df.withColumn(value, parsing.parse_number(F.col(value)).cast("float"))
-    df = filters.require_columns(df, [*keys, value])
+    df = filters.require_columns(df, keys)
     return dedup.distinct_rows(df.where(filters.in_range(F.col(value), low, high)))
 
 

@@ -17,6 +17,7 @@ from gildmill.queries.registry import (
     sql_flat,
     sql_list_text,
     sql_words,
+    spread_table,
     table,
     words,
 )
@@ -52,13 +53,13 @@ SELECT o_orderkey, CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFI
 FROM orders
 """)
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").withColumn("raw", _mixed_dates(F.col("o_orderdate")))
+    orders = spread_table(spark, folder, "orders", "o_orderkey").withColumn("raw", _mixed_dates(F.col("o_orderdate")))
     return orders.select("o_orderkey", parsing.parse_iso_date(F.col("raw")).cast("string").alias("parsed"))
 
 
 @query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS parsed FROM orders")
 def parse_dates_multi(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").withColumn("raw", _mixed_dates(F.col("o_orderdate")))
+    orders = spread_table(spark, folder, "orders", "o_orderkey").withColumn("raw", _mixed_dates(F.col("o_orderdate")))
     return orders.select("o_orderkey", parsing.parse_date(F.col("raw")).cast("string").alias("parsed"))
 
 
@@ -70,7 +71,7 @@ WHERE day IS NULL OR year(day) BETWEEN 1996 AND 1998
 """)
 def date_range_keep_null(spark: SparkSession, folder: str) -> DataFrame:
     day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date"))
-    orders = table(spark, folder, "orders").select("o_orderkey", day.alias("day"))
+    orders = spread_table(spark, folder, "orders", "o_orderkey").select("o_orderkey", day.alias("day"))
     kept = orders.where(filters.years_or_null(F.col("day"), 1996, 1998))
     return kept.withColumn("day", F.col("day").cast("string"))
 
@@ -95,7 +96,7 @@ def parse_currency(spark: SparkSession, folder: str) -> DataFrame:
         grouped,
         F.lit("unknown"),
     )
-    orders = table(spark, folder, "orders")
+    orders = spread_table(spark, folder, "orders", "o_orderkey")
     return orders.select("o_orderkey", F.round(parsing.parse_currency(raw), 2).alias("amount"))
 
 
@@ -110,7 +111,7 @@ def parse_currency_intl(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(european, F.lit(" EUR")),
         F.concat(F.lit("  "), F.col("o_totalprice").cast("decimal(20,2)").cast("string")),
     )
-    orders = table(spark, folder, "orders")
+    orders = spread_table(spark, folder, "orders", "o_orderkey")
     return orders.select("o_orderkey", F.round(parsing.parse_currency_intl(raw), 2).alias("amount"))
 
 
@@ -150,7 +151,7 @@ def normalize_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') AS released FROM orders")
 def rfc3339_date(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
+    return spread_table(spark, folder, "orders", "o_orderkey").select(
         "o_orderkey", parsing.rfc3339_date(F.col("o_orderdate")).alias("released")
     )
 
@@ -169,14 +170,14 @@ def rfc3339_timestamp(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT doc_id, {sql_flat('text')} AS text FROM documents")
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     dirty = F.concat(F.lit("  "), F.replace(F.col("text"), F.lit(" "), F.lit(" \t ")), F.lit("\n"))
-    return table(spark, folder, "documents").select("doc_id", text.clean_text(dirty).alias("text"))
+    return spread_table(spark, folder, "documents", "doc_id").select("doc_id", text.clean_text(dirty).alias("text"))
 
 
 @query(rf"""
 SELECT doc_id, {sql_flat("regexp_replace(text, '[^\x00-\x7F]', '', 'g')")} AS text FROM documents
 """)
 def strip_non_ascii(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", text.clean_text(F.col("text"), repair=False, strip_non_ascii=True).alias("text")
     )
 
@@ -184,7 +185,7 @@ def strip_non_ascii(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT doc_id, text FROM documents")
 def repair_mojibake(spark: SparkSession, folder: str) -> DataFrame:
     misread = F.decode(F.encode(F.col("text"), "UTF-8"), "ISO-8859-1")
-    return table(spark, folder, "documents").select("doc_id", text.repair_mojibake(misread).alias("text"))
+    return spread_table(spark, folder, "documents", "doc_id").select("doc_id", text.repair_mojibake(misread).alias("text"))
 
 
 @query(f"""
@@ -195,7 +196,7 @@ SELECT doc_id, CASE WHEN t IS NULL OR t = '' THEN '(no overview available)'
 FROM d
 """)
 def snippet(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", text.snippet(F.col("text")).alias("card"))
+    return spread_table(spark, folder, "documents", "doc_id").select("doc_id", text.snippet(F.col("text")).alias("card"))
 
 
 @query(f"""
@@ -212,12 +213,12 @@ def combined_text(spark: SparkSession, folder: str) -> DataFrame:
         text.collapse_whitespace(F.col("text")),
         F.array_join(F.slice(words(F.col("text")), 1, 3), " "),
     )
-    return table(spark, folder, "documents").select("doc_id", body.alias("body"))
+    return spread_table(spark, folder, "documents", "doc_id").select("doc_id", body.alias("body"))
 
 
 def _conversation_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Each turn with the words of its text as list text."""
-    c = table(spark, folder, "conversations")
+    c = spread_table(spark, folder, "conversations", "conv_id", "turn")
     return c.select("conv_id", "turn", "role", nested.to_list_text(words(F.col("text"))).alias("list_text"))
 
 
@@ -260,17 +261,18 @@ _HARD_OBJECT = r"""{'id': None, "kind": "O'None, True", 'name': 'L\'%s \\ x\xe9'
 
 
 @query(rf"""
-SELECT doc_id, CAST(len({sql_words("text")}) AS BIGINT) AS n_items,
+SELECT conv_id, turn, CAST(len({sql_words("text")}) AS BIGINT) AS n_items,
   array_to_string(list_transform({sql_words("text")}, lambda w: 'L''' || w || ' \ xé'), '|') AS names,
   'O''None, True' AS first_kind
-FROM documents
+FROM conversations
 """)
 def parse_list_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    turns = spread_table(spark, folder, "conversations", "conv_id", "turn")
     raw = nested.to_list_text(words(F.col("text")), _HARD_OBJECT)
-    items = docs.select("doc_id", nested.parse_list_text(raw, ["name", "kind"]).alias("items"))
-    return items.select(
-        "doc_id",
+    items = nested.parse_list_text(raw, ["name", "kind"])
+    return turns.select("conv_id", "turn", items.alias("items")).select(
+        "conv_id",
+        "turn",
         F.size("items").cast("bigint").alias("n_items"),
         F.array_join(F.transform("items", lambda x: x["name"]), "|").alias("names"),
         F.get(F.col("items"), F.lit(0))["kind"].alias("first_kind"),
@@ -314,7 +316,7 @@ SELECT conv_id, turn, {sql_words('text')}[-1] AS director, role AS any_director
 """)
 def first_match_in_array(spark: SparkSession, folder: str) -> DataFrame:
     crew = nested.parse_list_text(crew_text(F.col("role"), F.col("text")), ["name", "job"])
-    items = table(spark, folder, "conversations").select("conv_id", "turn", crew.alias("crew"))
+    items = spread_table(spark, folder, "conversations", "conv_id", "turn").select("conv_id", "turn", crew.alias("crew"))
     return items.select(
         "conv_id",
         "turn",

@@ -13,7 +13,15 @@ from gildmill.functions import nested
 from gildmill.operators import search
 from gildmill.plans import documents, gold, schemas, silver
 from gildmill.queries.cleaning import crew_text
-from gildmill.queries.registry import query, sql_flat, sql_list_text, sql_words, table, words
+from gildmill.queries.registry import (
+    query,
+    spread_table,
+    sql_flat,
+    sql_list_text,
+    sql_words,
+    table,
+    words,
+)
 from gildmill.queries.storage import write_csv
 from gildmill.sources.writers import scratch_path
 
@@ -28,7 +36,7 @@ def messy_movies(spark: SparkSession, folder: str) -> DataFrame:
     )
     amount = F.format_number(F.col("n_chars") * 1000, 2)
     genre = nested.to_list_text(F.array("lang", "source"), "{'id': None, 'name': '%s'}")
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents", "doc_id").select(
         F.concat(F.lit(" "), F.col("doc_id").cast("string"), F.lit(".0")).alias("id"),
         F.concat_ws(
             "  \t", F.lit(""), F.upper("source"), F.col("lang"), F.col("n_chars").cast("string")
@@ -46,7 +54,7 @@ def messy_movies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messy_credits(spark: SparkSession, folder: str) -> DataFrame:
-    turns = table(spark, folder, "conversations")
+    turns = spread_table(spark, folder, "conversations", "conv_id", "turn")
     return turns.select(
         F.concat(F.col("conv_id").cast("string"), F.lit(".0")).alias("id"),
         nested.to_list_text(words(F.col("text"))).alias("cast"),
@@ -63,7 +71,8 @@ def messy_keywords(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messy_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select(
+    lines = spread_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber")
+    return lines.select(
         F.col("l_suppkey").cast("string").alias("userId"),
         F.col("l_partkey").cast("string").alias("movieId"),
         (F.col("l_quantity") / 10).cast("string").alias("rating"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildmill.functions.text import collapse_whitespace
+from gildmill.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """A text table ready for heavy per-row work, whatever its file count."""
+    return spread(table(spark, folder, name), *keys)
+
+
 def words(c: Column) -> Column:
     """All words of a text."""
     return F.split(collapse_whitespace(c), " ")

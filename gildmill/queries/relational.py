@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gildmill.functions.text import fold_key_no_punctuation
 from gildmill.operators import aggregates, dedup, external, filters, joins
-from gildmill.queries.registry import day_text, query, table, words
+from gildmill.queries.registry import day_text, query, spread_table, table, words
 from gildmill.shipping import ship_package
 
 
@@ -57,7 +57,7 @@ def dedup_near_punct(spark: SparkSession, folder: str) -> DataFrame:
     title = F.when(F.col("lang") == "en", F.concat("text", F.lit("."))).otherwise(
         F.concat(F.lit("«"), "text", F.lit("»"))
     )
-    docs = table(spark, folder, "documents").select("doc_id", title.alias("title"))
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", title.alias("title"))
     return dedup.near_duplicates_removed(
         docs, "title", None, ["doc_id"], ["doc_id"], fold_key_no_punctuation
     ).select("doc_id")
@@ -164,7 +164,7 @@ SELECT doc_id, lang FROM documents
 WHERE list_contains(string_split(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), ' '), 'with')
 """)
 def search_filter_member(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").withColumn("names", words(F.col("text")))
+    docs = spread_table(spark, folder, "documents", "doc_id").withColumn("names", words(F.col("text")))
     kept = docs.where(filters.search_filter("names", "With", array_fields=("names",)))
     return kept.select("doc_id", "lang")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gildmill.operators import dedup, encode, search
 from gildmill.plans import documents
 from gildmill.queries.jobs import enriched
-from gildmill.queries.registry import query, table
+from gildmill.queries.registry import query, spread_table, table
 from gildmill.shipping import ship_package
 
 K = 10
@@ -123,7 +123,7 @@ def encode_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def tfidf_search(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "text")
     text = table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
     model = encode.fit_tfidf(docs, "text")
     hits = encode.search_tfidf(model, docs, text, "doc_id", K)

@@ -14,6 +14,19 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Re-divide a scan that has fewer partitions than there are cores.
+
+    For few large unsplittable inputs ahead of heavy per-row work. A scan that is
+    divided well enough stays as it is, so nothing is shuffled at scale. Give
+    unique ``keys``.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
