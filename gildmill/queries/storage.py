@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gildmill.functions.text import clean_text
 from gildmill.operators import aggregates, dedup, filters, joins, metrics
-from gildmill.queries.registry import day_text, query, sql_flat, table
+from gildmill.queries.registry import day_text, query, spread_table, sql_flat, table
 from gildmill.sources import readers, writers
 
 
@@ -78,7 +78,7 @@ SELECT CAST(doc_id AS VARCHAR) AS id, lang, {sql_flat("text")} AS body, CAST(NUL
 FROM documents
 """)
 def document_sink(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select(
+    docs = spread_table(spark, folder, "documents", "doc_id").select(
         F.col("doc_id").cast("string").alias("id"),
         "lang",
         clean_text(F.col("text")).alias("body"),
