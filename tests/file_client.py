@@ -1,0 +1,28 @@
+"""A document client that writes one file per batch, in place of a network service."""
+
+import json
+import shutil
+import uuid
+from pathlib import Path
+
+
+class FileClient:
+    def __init__(self, options):
+        self.folder = Path(options["folder"])
+
+    def reset(self):
+        shutil.rmtree(self.folder, ignore_errors=True)
+        self.folder.mkdir(parents=True)
+
+    def send(self, batch):
+        (self.folder / f"{uuid.uuid4().hex}.json").write_text(json.dumps(batch))
+
+    def done(self, documents):
+        (self.folder / "done.txt").write_text(str(documents))
+
+    def close(self):
+        pass
+
+
+def connect(options):
+    return FileClient(options)
