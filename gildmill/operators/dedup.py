@@ -24,6 +24,22 @@ def total_order(df: DataFrame, first: list[str] | None = None) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in [*lead, *[c for c in df.columns if c not in lead]]]
 
 
+def fullest_first(df: DataFrame, first: list[str] | None = None) -> list[Column]:
+    """A total order that prefers, after ``first``, the row with most filled columns.
+
+    Null, blank text and the empty list text count as not filled.
+    """
+    text = {n for n, t in df.dtypes if t == "string"}
+
+    def filled(name: str) -> Column:
+        c = F.col(name)
+        return c.isNotNull() & ~F.trim(c).isin("", "[]") if name in text else c.isNotNull()
+
+    count = sum((F.coalesce(filled(n), F.lit(False)).cast("int") for n in df.columns), F.lit(0))
+    lead = [F.col(c).asc_nulls_last() for c in first or []]
+    return [*lead, count.desc(), *total_order(df)]
+
+
 def first_per_key(
     df: DataFrame, keys: list[str | Column], order_by: list[str | Column] | None = None
 ) -> DataFrame:

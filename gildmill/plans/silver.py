@@ -41,7 +41,8 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
     """Typed, repaired movies: one row per id and per title and date.
 
     Equal rows need no step of their own: both reductions below order by all
-    columns, so equal rows share their group and one of them is kept.
+    columns, so equal rows share their group and one of them is kept. Of several
+    rows for one id the fullest is kept.
     """
     df = df.withColumn("id", parsing.normalize_id(F.col("id")))
     df = filters.require_columns(df, ["id", "title"])
@@ -67,10 +68,10 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
         "title",
         ["release_date"],
         ["id"],
-        dedup.total_order(df, ["id"]),
+        dedup.fullest_first(df, ["id"]),
         text.fold_key_no_punctuation if policy.ignore_punctuation else text.fold_key,
     )
-    return dedup.first_per_key(df, ["id"])
+    return dedup.first_per_key(df, ["id"], dedup.fullest_first(df))
 
 
 def clean_child(

@@ -1,24 +1,31 @@
-"""A document client that writes one file per batch, in place of a network service."""
+"""A document client that writes one file per batch, in place of a network service.
+
+Recreating the collection starts a new folder and points ``current`` at it.
+"""
 
 import json
-import shutil
 import uuid
 from pathlib import Path
 
 
 class FileClient:
     def __init__(self, options):
-        self.folder = Path(options["folder"])
+        self.root = Path(options["folder"])
+
+    @property
+    def collection(self):
+        return self.root / (self.root / "current").read_text()
 
     def reset(self):
-        shutil.rmtree(self.folder, ignore_errors=True)
-        self.folder.mkdir(parents=True)
+        name = uuid.uuid4().hex
+        (self.root / name).mkdir(parents=True)
+        (self.root / "current").write_text(name)
 
     def send(self, batch):
-        (self.folder / f"{uuid.uuid4().hex}.json").write_text(json.dumps(batch))
+        (self.collection / f"{uuid.uuid4().hex}.json").write_text(json.dumps(batch))
 
     def done(self, documents):
-        (self.folder / "done.txt").write_text(str(documents))
+        (self.root / "done").write_text(str(documents))
 
     def close(self):
         pass
