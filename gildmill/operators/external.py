@@ -21,15 +21,17 @@ def enrich_external(
     connect: Callable[[], Callable[[object], dict | None]],
     fields: T.StructType,
     calls_per_second: float | None = None,
+    parallel: int | None = None,
     retries: int = 2,
     backoff_seconds: float = 0.0,
 ) -> DataFrame:
     """Left-join the answers of a service, one call per distinct key.
 
     ``connect`` runs once per task and returns the lookup function. A call that
-    keeps failing leaves null fields and its message in ``lookup_error``. The pace
-    holds per task. Answers are written before the join, so a lost executor or a
-    re-planned join does not call the service again.
+    keeps failing leaves null fields and its message in ``lookup_error``.
+    ``calls_per_second`` paces each task and ``parallel`` bounds the tasks, so their
+    product bounds the load on the service. Answers are written before the join, so
+    a lost executor or a re-planned join does not call the service again.
     """
     key_type = df.schema[key].dataType
     out = T.StructType(
@@ -58,5 +60,7 @@ def enrich_external(
             yield pd.DataFrame(rows, columns=[key, *names, ERROR_COLUMN], dtype=object)
 
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if parallel is not None:
+        keys = keys.repartition(parallel, key)
     answers = materialize(keys.mapInPandas(look_up, out), "lookup")
     return df.join(answers, key, "left")

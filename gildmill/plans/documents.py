@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,13 +12,15 @@ from pyspark.sql import functions as F
 from gildmill.functions import parsing
 from gildmill.functions.text import null_to_empty
 from gildmill.operators import filters, metrics, search
-from gildmill.operators.encode import fit_tfidf, search_tfidf
+from gildmill.operators.encode import encode, fit_tfidf, search_tfidf
 from gildmill.plans import schemas as S
 from gildmill.sources.document_sink import send_documents
 from gildmill.sources.readers import read_parquet
 from gildmill.sources.writers import write_documents
 
 NAMES = "array<string>"
+VECTOR = "vector"
+Encoder = Callable[[], Callable[[list[str]], np.ndarray]]
 
 
 def build_documents(gold: DataFrame, embeddable_only: bool = False) -> DataFrame:
@@ -52,23 +57,27 @@ def gold_to_documents(
     target: str | None = None,
     client: str | None = None,
     embeddable_only: bool = False,
+    load_encoder: Encoder | None = None,
     **client_options,
 ) -> DataFrame:
     """Replace the document collection with the gold table's rows.
 
     With ``target`` the documents are written as JSON and the result compares them
     with their source by key; with ``client`` the tasks send them in batches.
+    ``load_encoder`` adds a vector of the combined text to each document.
     """
     if (target is None) == (client is None):
         raise ValueError("give either target or client")
     documents = build_documents(
         read_parquet(spark, f"{gold.rstrip('/')}/{S.MOVIES_TABLE}"), embeddable_only
     )
+    if load_encoder is not None:
+        documents = encode(documents, "combined_text", load_encoder, VECTOR)
     if client is not None:
         send_documents(spark, documents, client, **client_options)
         return documents.agg(F.count(F.lit(1)).alias("source_rows"))
     write_documents(documents, target)
-    written = spark.read.schema(documents.schema).json(target)
+    written = spark.read.schema("tmdb_id string").json(target)
     return metrics.reconcile(documents, written, "tmdb_id")
 
 

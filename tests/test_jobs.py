@@ -10,7 +10,7 @@ from plans import plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from gildmill.operators import encode
+from gildmill.operators import encode, search
 from gildmill.plans import documents, gold, schemas, silver
 
 GENRES = "[{'id': 16, 'name': 'Animation'}, {'id': 35, 'name': 'Comedy'}]"
@@ -198,6 +198,21 @@ def test_documents(spark, lake, tmp_path):
         documents.gold_to_documents(spark, str(root / "gold"))
 
 
+def test_documents_with_vectors(spark, lake, tmp_path):
+    def load():
+        import numpy
+
+        return lambda texts: numpy.array([[len(t), t.count("o"), 1.0] for t in texts])
+
+    target = str(tmp_path / "docs")
+    documents.gold_to_documents(spark, str(lake[0] / "gold"), target, load_encoder=load)
+    docs = spark.read.schema("title string, combined_text string, vector array<float>").json(target)
+    query = docs.where("title = 'Casino'").first()["vector"]
+    assert query == [6.0, 1.0, 1.0]
+    best = search.nearest(docs, "title", "vector", query, 1).first()
+    assert (best["title"], best["score"]) == ("Casino", 1.0)
+
+
 def test_search(lake):
     wide = lake[2]
     model = encode.fit_tfidf(wide, "combined_text")

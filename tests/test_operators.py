@@ -212,7 +212,7 @@ def test_external_lookup(spark, tmp_path):
     keys = ["a"] * 50 + ["flaky", "bad", "unknown", None]
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(5)
     fields = T.StructType([T.StructField("plot", T.StringType()), T.StructField("score", T.LongType())])
-    got = external.enrich_external(df, "k", connect, fields, calls_per_second=1000, retries=2)
+    got = external.enrich_external(df, "k", connect, fields, 1000, 2, retries=2)
     rows = {r["k"]: (r["plot"], r["score"], r["lookup_error"]) for r in got.collect()}
     assert got.count() == len(keys)
     assert rows == {
