@@ -94,12 +94,14 @@ def clean_facts(
 ) -> DataFrame:
     """Ratings: text keys, a value in the closed range, equal rows once.
 
-    A null value fails the range test, so only the keys need the null test.
+    A value outside the range becomes null and leaves with the null test, which
+    names the parsed value once; a range test pushed to the scan would parse it
+    twice more.
     """
-    df = df.withColumns({k: parsing.normalize_id(F.col(k)) for k in keys})
-    df = df.withColumn(value, parsing.parse_number(F.col(value)).cast("float"))
-    df = filters.require_columns(df, keys)
-    return dedup.distinct_rows(df.where(filters.in_range(F.col(value), low, high)))
+    number = parsing.parse_number(F.col(value)).cast("float")
+    cleaned = {k: parsing.normalize_id(F.col(k)) for k in keys}
+    df = df.withColumns({**cleaned, value: parsing.plausible(number, low, high)})
+    return dedup.distinct_rows(filters.require_columns(df, [*keys, value]))
 
 
 def clean_links(df: DataFrame) -> DataFrame:
