@@ -10,14 +10,13 @@ printing a Python list of dictionaries can produce is covered; named
 from __future__ import annotations
 
 import ast
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gildmill.functions.text import stepwise
+from gildmill.functions.text import quoted, stepwise
 
 EMPTY_LIST = "[]"
 _BLANKS = " \t\r\n"
@@ -30,81 +29,74 @@ _KEYWORDS = {"None": "null", "True": "true", "False": "false"}
 _EVEN = r"(?<!\\)((?:\\\\)*+)"
 _HEX_ESCAPE = _EVEN + r"\\x([0-9a-fA-F]{2})"
 _OTHER_ESCAPE = r"""(?s)""" + _EVEN + r"""\\[^'"\\nrtbfu]"""
+_UNKNOWN_ESCAPE = r"""(?s)^\\[^'"\\nrtbfu]"""
 # One escape sequence, or a run without backslashes.
 _ESCAPE = r"(?s)(\\U[0-9a-fA-F]{8}|\\[0-7]{1,3}|\\.|[^\\]++|\\)"
-_JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+_JSON_OPTIONS = "map('allowSingleQuotes', 'true', 'allowBackslashEscapingAnyCharacter', 'true')"
 
 
 def _trimmed(c: Column) -> Column:
     return F.btrim(c, F.lit(_BLANKS))
 
 
-def _bracketed(t: Column) -> Column:
-    return t.startswith("[") & t.endswith("]") & (F.length(t) > 1)
+def _bracketed_or(other: str) -> str:
+    """A step that keeps bracketed text and replaces other text."""
+    return f"""t -> CASE WHEN startswith(t, '[') AND endswith(t, ']') AND length(t) > 1 THEN t
+      ELSE {other} END"""
 
 
-def _bracketed_or(other: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda t: F.when(_bracketed(t), t).otherwise(other(t))
+_VALID = _bracketed_or(quoted(EMPTY_LIST))
+_COMPLETE_OBJECTS = (
+    f"regexp_extract(regexp_replace(t, {quoted('^' + chr(92) + '[')}, ''), "
+    f"{quoted(r'(?s)^(.*\})')}, 1)"
+)
+_REPAIRED = _bracketed_or(f"concat('[', coalesce({_COMPLETE_OBJECTS}, ''), ']')")
 
 
 def validate_list_text(c: Column) -> Column:
     """The text when it is bracketed, else the empty list."""
-    return stepwise(_trimmed(c), _bracketed_or(lambda t: F.lit(EMPTY_LIST)))
-
-
-def _complete_objects(t: Column) -> Column:
-    complete = F.regexp_extract(F.regexp_replace(t, r"^\[", ""), r"(?s)^(.*\})", 1)
-    return F.concat(F.lit("["), F.coalesce(complete, F.lit("")), F.lit("]"))
+    return stepwise(_trimmed(c), _VALID)
 
 
 def repair_list_text(c: Column) -> Column:
     """Add lost brackets and keep the complete objects of a truncated list."""
-    return stepwise(_trimmed(c), _bracketed_or(_complete_objects))
+    return stepwise(_trimmed(c), _REPAIRED)
 
 
-def _keyword_to_json(python: str, json: str):
+def _keyword_to_json(python: str, json: str) -> str:
     """Replace one keyword outside quotes; each match starts where the last one ended."""
     head, tail = python[0], python[1:]
     passed = rf"""(?s)\G((?:[^'"{head}]++|{_QUOTED}|{head}(?!{tail}\b))*+){python}"""
-    return lambda t: F.when(t.contains(python), F.regexp_replace(t, passed, f"$1{json}")).otherwise(
-        t
-    )
-
-
-def _hex_to_json(t: Column) -> Column:
-    return F.when(t.contains("\\x"), F.regexp_replace(t, _HEX_ESCAPE, r"$1\\u00$2")).otherwise(t)
-
-
-def _escape_to_json(token: Column) -> Column:
-    code = F.substring(token, 3, 8)
-    return (
-        F.when(~token.startswith("\\"), token)
-        .when(token.rlike(r"^\\U0000.{4}$"), F.concat(F.lit("\\u"), F.substring(token, 7, 4)))
-        .when(
-            token.rlike(r"^\\U00(0[1-9a-fA-F]|10).{4}$"),
-            F.decode(F.unhex(code), "UTF-32"),
-        )
-        .when(
-            token.rlike(r"^\\[0-7]"),
-            F.concat(F.lit("\\u"), F.lpad(F.conv(F.substring(token, 2, 3), 8, 16), 4, "0")),
-        )
-        .when(token == "\\a", F.lit("\\u0007"))
-        .when(token == "\\v", F.lit("\\u000b"))
-        .when(token.rlike(r"""(?s)^\\[^'"\\nrtbfu]"""), F.concat(F.lit("\\"), token))
-        .otherwise(token)
-    )
-
-
-def _escapes_to_json(t: Column) -> Column:
-    tokens = F.transform(F.regexp_extract_all(t, F.lit(_ESCAPE), F.lit(1)), _escape_to_json)
-    return (
-        F.when(~t.contains("\\"), t)
-        .when(t.rlike(_OTHER_ESCAPE), F.array_join(tokens, ""))
-        .otherwise(t)
-    )
-
-
-_TO_JSON = [*[_keyword_to_json(p, j) for p, j in _KEYWORDS.items()], _hex_to_json, _escapes_to_json]
+    return f"""t -> CASE WHEN contains(t, {quoted(python)})
+      THEN regexp_replace(t, {quoted(passed)}, {quoted("$1" + json)}) ELSE t END"""
+
+
+_HEX_TO_JSON = rf"""t -> CASE WHEN contains(t, {quoted(chr(92) + "x")})
+  THEN regexp_replace(t, {quoted(_HEX_ESCAPE)}, {quoted(r"$1\\u00$2")}) ELSE t END"""
+
+# One token of text split at its escapes.
+_ONE_ESCAPE = rf"""CASE
+  WHEN NOT startswith(e, {quoted(chr(92))}) THEN e
+  WHEN rlike(e, {quoted(r"^\\U0000.{4}$")}) THEN concat({quoted(chr(92) + "u")}, substring(e, 7, 4))
+  WHEN rlike(e, {quoted(r"^\\U00(0[1-9a-fA-F]|10).{4}$")})
+  THEN decode(unhex(substring(e, 3, 8)), 'UTF-32')
+  WHEN rlike(e, {quoted(r"^\\[0-7]")})
+  THEN concat({quoted(chr(92) + "u")}, lpad(conv(substring(e, 2, 3), 8, 16), 4, '0'))
+  WHEN e = {quoted(r"\a")} THEN {quoted(r"\u0007")}
+  WHEN e = {quoted(r"\v")} THEN {quoted(r"\u000b")}
+  WHEN rlike(e, {quoted(_UNKNOWN_ESCAPE)}) THEN concat({quoted(chr(92))}, e)
+  ELSE e END"""
+_ESCAPES_TO_JSON = f"""t -> CASE
+  WHEN NOT contains(t, {quoted(chr(92))}) THEN t
+  WHEN rlike(t, {quoted(_OTHER_ESCAPE)})
+  THEN array_join(transform(regexp_extract_all(t, {quoted(_ESCAPE)}, 1), e -> {_ONE_ESCAPE}), '')
+  ELSE t END"""
+
+_TO_JSON = [
+    *[_keyword_to_json(p, j) for p, j in _KEYWORDS.items()],
+    _HEX_TO_JSON,
+    _ESCAPES_TO_JSON,
+]
 
 
 def literal_to_json(c: Column) -> Column:
@@ -145,14 +137,10 @@ def parse_list_text(c: Column, fields: list[str], exact: bool = False) -> Column
     """
     element = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     lists = T.ArrayType(element)
-
-    def read(json: Column) -> Column:
-        typed = F.from_json(json, lists, _JSON_OPTIONS)
-        mixed = F.transform(
-            F.from_json(json, T.ArrayType(T.StringType()), _JSON_OPTIONS),
-            lambda e: F.from_json(e, element, _JSON_OPTIONS),
-        )
-        return F.coalesce(typed, mixed)
+    one = quoted(element.simpleString())
+    read = f"""j -> coalesce(
+      from_json(j, {quoted(lists.simpleString())}, {_JSON_OPTIONS}),
+      transform(from_json(j, 'array<string>', {_JSON_OPTIONS}), e -> from_json(e, {one}, {_JSON_OPTIONS})))"""
 
     gated = validate_list_text(c)
     parsed = stepwise(gated, *_TO_JSON, read)
@@ -164,10 +152,8 @@ def parse_list_text(c: Column, fields: list[str], exact: bool = False) -> Column
 
 def names_of(items: Column, field: str = "name") -> Column:
     """The non-empty values of one field, in list order."""
-    values = F.filter(
-        F.transform(items, lambda x: x[field]), lambda n: n.isNotNull() & (n != "")
-    )
-    return F.coalesce(values, F.array().cast("array<string>"))
+    names = f"a -> coalesce(filter(transform(a, x -> x.`{field}`), n -> n <> ''), array())"
+    return stepwise(items, names)
 
 
 def top_names(items: Column, k: int = 5, field: str = "name") -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gildmill.functions.text import stepwise
+from gildmill.functions.text import quoted, stepwise
 
 # Accepted shapes.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -22,6 +22,10 @@ EU_DAY = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
 MONTH_NAME_DAY = r"^[A-Za-z]+ \d{1,2}, \d{4}$"
 MONTH_NAME_FORMAT = "MMMM d, yyyy"
 AMOUNT = r"^\s*-?\s*[€$£]?\s*-?[\d.,\s]*\d[\d.,\s]*([A-Z]{3})?\s*$"
+EURO_CODE = r"EUR\s*$"
+NOT_AMOUNT = r"[^0-9.,\-]"
+DOTS_GROUP = r"\..*[,.]"
+EURO_TAIL = r"(^-?\d{1,3}\.\d{3}|,\d{1,2})$"
 RFC3339_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -36,14 +40,13 @@ def parse_iso_date(c: Column) -> Column:
     )
 
 
-def _day_of(t: Column) -> Column:
-    return (
-        F.when(t.rlike(ISO_DAY_LOOSE), t.try_cast("date"))
-        .when(t.rlike(US_DAY), F.regexp_replace(t, US_DAY, "$3-$1-$2").try_cast("date"))
-        .when(t.rlike(EU_DAY), F.regexp_replace(t, EU_DAY, "$3-$2-$1").try_cast("date"))
-        .when(t.rlike(MONTH_NAME_DAY), F.try_to_date(t, MONTH_NAME_FORMAT))
-        .when(t.rlike(ISO_DATE_TIME), F.regexp_extract(t, ISO_DATE_TIME, 1).try_cast("date"))
-    )
+_DAY = f"""t -> CASE
+  WHEN rlike(t, {quoted(ISO_DAY_LOOSE)}) THEN try_cast(t AS DATE)
+  WHEN rlike(t, {quoted(US_DAY)}) THEN try_cast(regexp_replace(t, {quoted(US_DAY)}, '$3-$1-$2') AS DATE)
+  WHEN rlike(t, {quoted(EU_DAY)}) THEN try_cast(regexp_replace(t, {quoted(EU_DAY)}, '$3-$2-$1') AS DATE)
+  WHEN rlike(t, {quoted(MONTH_NAME_DAY)}) THEN try_to_date(t, {quoted(MONTH_NAME_FORMAT)})
+  WHEN rlike(t, {quoted(ISO_DATE_TIME)})
+  THEN try_cast(regexp_extract(t, {quoted(ISO_DATE_TIME)}, 1) AS DATE) END"""
 
 
 def parse_date(c: Column) -> Column:
@@ -51,16 +54,12 @@ def parse_date(c: Column) -> Column:
 
     The separator decides the order, so one pattern applies to each value.
     """
-    return stepwise(dotted_to_dashed(F.trim(c)), _day_of)
-
-
-def _number_of(t: Column) -> Column:
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return stepwise(dotted_to_dashed(F.trim(c)), _DAY)
 
 
 def parse_number(c: Column) -> Column:
     """Plain decimal text to double; ``NaN``, ``Infinity`` and ``12f`` are null."""
-    return stepwise(F.trim(c.cast("string")), _number_of)
+    return stepwise(F.trim(c.cast("string")), _NUMBER)
 
 
 def _bounded(default: float | None, minimum: float | None):
@@ -77,21 +76,16 @@ def parse_currency(
 ) -> Column:
     """Amounts with ``$``, grouping commas and spaces."""
     bare = F.regexp_replace(c.cast("string"), r"[\$,\s]", "")
-    return stepwise(bare, _number_of, _bounded(default, minimum))
+    return stepwise(bare, _NUMBER, _bounded(default, minimum))
 
 
-def _amount_parts(t: Column) -> Column:
-    euro = t.contains("€") | t.rlike(r"EUR\s*$")
-    body = F.regexp_replace(t, r"[^0-9.,\-]", "")
-    return F.when(t.rlike(AMOUNT), F.struct(euro.alias("euro"), body.alias("body")))
-
-
-def _plain_amount(parts: Column) -> Column:
-    body = parts["body"]
-    dots_group = (
-        body.rlike(r"\..*[,.]") | (parts["euro"] & body.rlike(r"(^-?\d{1,3}\.\d{3}|,\d{1,2})$"))
-    )
-    return F.when(dots_group, F.translate(body, ",.", ".")).otherwise(F.translate(body, ",", ""))
+_AMOUNT_PARTS = f"""t -> CASE WHEN rlike(t, {quoted(AMOUNT)}) THEN named_struct(
+  'euro', contains(t, '€') OR rlike(t, {quoted(EURO_CODE)}),
+  'body', regexp_replace(t, {quoted(NOT_AMOUNT)}, '')) END"""
+_PLAIN_AMOUNT = f"""p -> CASE
+  WHEN rlike(p.body, {quoted(DOTS_GROUP)}) OR (p.euro AND rlike(p.body, {quoted(EURO_TAIL)}))
+  THEN translate(p.body, ',.', '.') ELSE translate(p.body, ',', '') END"""
+_NUMBER = f"t -> CASE WHEN rlike(t, {quoted(NUMBER)}) THEN try_cast(t AS DOUBLE) END"
 
 
 def parse_currency_intl(
@@ -103,12 +97,12 @@ def parse_currency_intl(
     comma, when there are several dots, or when a euro amount ends in ``.ddd``
     or ``,d``/``,dd``. Otherwise commas group. A lone ``1.500`` stays decimal.
     """
-    steps = [_amount_parts, _plain_amount, _number_of, _bounded(default, minimum)]
+    steps = [_AMOUNT_PARTS, _PLAIN_AMOUNT, _NUMBER, _bounded(default, minimum)]
     return stepwise(c.cast("string"), *steps)
 
 
 def positive_or_null(c: Column) -> Column:
-    return stepwise(F.trim(c.cast("string")), _number_of, lambda v: F.when(v > 0, v))
+    return stepwise(F.trim(c.cast("string")), _NUMBER, "v -> CASE WHEN v > 0 THEN v END")
 
 
 def plausible(v: Column, low: float, high: float) -> Column:

@@ -23,15 +23,25 @@ SNIPPET_MARKER = "..."
 NO_OVERVIEW = "(no overview available)"
 
 
-def stepwise(c: Column, *steps: Callable[[Column], Column]) -> Column:
+def quoted(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stepwise(c: Column, *steps: str | Callable[[Column], Column]) -> Column:
     """Apply ``steps`` in turn, computing each intermediate value once.
 
     A step that names its input several times would otherwise repeat the whole
-    expression before it; a lambda variable holds the computed value.
+    expression before it; a lambda variable holds the computed value. A step is a
+    SQL lambda such as ``"t -> upper(t)"``, which reaches the JVM in one call
+    however long it is, or a function of a Column.
     """
     held = F.array(c)
     for step in steps:
-        held = F.transform(held, step)
+        if isinstance(step, str):
+            held = F.call_function("transform", held, F.expr(step))
+        else:
+            held = F.transform(held, step)
     return F.get(held, F.lit(0))
 
 
@@ -52,15 +62,12 @@ def ascii_only(c: Column) -> Column:
     return F.regexp_replace(c, r"[^\x00-\x7F]", "")
 
 
-def _reread_as_utf8(c: Column) -> Column:
-    as_bytes = F.translate(c, CP1252_CHARS, CP1252_BYTES)
-    reread = F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string"))
-    fits_one_byte = ~as_bytes.rlike(r"[^\x00-\xFF]")
-    return (
-        F.when(~c.rlike(_MISREAD), c)
-        .when(fits_one_byte, F.coalesce(reread, c))
-        .otherwise(c)
-    )
+_TO_BYTES = f"translate(t, {quoted(CP1252_CHARS)}, {quoted(CP1252_BYTES)})"
+_REREAD = f"""t -> CASE
+  WHEN NOT rlike(t, {quoted(_MISREAD)}) THEN t
+  WHEN NOT rlike({_TO_BYTES}, {quoted(r"[^\x00-\xFF]")})
+  THEN coalesce(try_validate_utf8(CAST(encode({_TO_BYTES}, 'ISO-8859-1') AS STRING)), t)
+  ELSE t END"""
 
 
 def repair_mojibake(c: Column, passes: int = 2) -> Column:
@@ -71,7 +78,7 @@ def repair_mojibake(c: Column, passes: int = 2) -> Column:
     regex scan; only suspicious values are translated. Two passes also restore
     text that was misread twice.
     """
-    return stepwise(c, *[_reread_as_utf8] * passes)
+    return stepwise(c, *[_REREAD] * passes)
 
 
 def clean_text(c: Column, repair: bool = True, strip_non_ascii: bool = False) -> Column:
