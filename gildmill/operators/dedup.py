@@ -31,11 +31,12 @@ def fullest_first(df: DataFrame, first: list[str] | None = None) -> list[Column]
     """
     text = {n for n, t in df.dtypes if t == "string"}
 
-    def filled(name: str) -> Column:
-        c = F.col(name)
-        return c.isNotNull() & ~F.trim(c).isin("", "[]") if name in text else c.isNotNull()
+    def filled(name: str) -> str:
+        c = f"`{name}`"
+        test = f"trim({c}) NOT IN ('', '[]')" if name in text else f"{c} IS NOT NULL"
+        return f"if({test}, 1, 0)"
 
-    count = sum((F.coalesce(filled(n), F.lit(False)).cast("int") for n in df.columns), F.lit(0))
+    count = F.expr(" + ".join(filled(n) for n in df.columns))
     lead = [F.col(c).asc_nulls_last() for c in first or []]
     return [*lead, count.desc(), *total_order(df)]
 
