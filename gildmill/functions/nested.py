@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from gildmill.functions.text import quoted, stepwise
 
 EMPTY_LIST = "[]"
+_BACKSLASH = "\\"
 _BLANKS = " \t\r\n"
 
 # Quoted strings (possessive: linear and without deep recursion).
@@ -47,7 +48,7 @@ def _bracketed_or(other: str) -> str:
 
 _VALID = _bracketed_or(quoted(EMPTY_LIST))
 _COMPLETE_OBJECTS = (
-    f"regexp_extract(regexp_replace(t, {quoted('^' + chr(92) + '[')}, ''), "
+    f"regexp_extract(regexp_replace(t, {quoted('^' + _BACKSLASH + '[')}, ''), "
     f"{quoted(r'(?s)^(.*\})')}, 1)"
 )
 _REPAIRED = _bracketed_or(f"concat('[', coalesce({_COMPLETE_OBJECTS}, ''), ']')")
@@ -71,23 +72,23 @@ def _keyword_to_json(python: str, json: str) -> str:
       THEN regexp_replace(t, {quoted(passed)}, {quoted("$1" + json)}) ELSE t END"""
 
 
-_HEX_TO_JSON = rf"""t -> CASE WHEN contains(t, {quoted(chr(92) + "x")})
+_HEX_TO_JSON = rf"""t -> CASE WHEN contains(t, {quoted(_BACKSLASH + "x")})
   THEN regexp_replace(t, {quoted(_HEX_ESCAPE)}, {quoted(r"$1\\u00$2")}) ELSE t END"""
 
 # One token of text split at its escapes.
 _ONE_ESCAPE = rf"""CASE
-  WHEN NOT startswith(e, {quoted(chr(92))}) THEN e
-  WHEN rlike(e, {quoted(r"^\\U0000.{4}$")}) THEN concat({quoted(chr(92) + "u")}, substring(e, 7, 4))
+  WHEN NOT startswith(e, {quoted(_BACKSLASH)}) THEN e
+  WHEN rlike(e, {quoted(r"^\\U0000.{4}$")}) THEN concat({quoted(_BACKSLASH + "u")}, substring(e, 7, 4))
   WHEN rlike(e, {quoted(r"^\\U00(0[1-9a-fA-F]|10).{4}$")})
   THEN decode(unhex(substring(e, 3, 8)), 'UTF-32')
   WHEN rlike(e, {quoted(r"^\\[0-7]")})
-  THEN concat({quoted(chr(92) + "u")}, lpad(conv(substring(e, 2, 3), 8, 16), 4, '0'))
+  THEN concat({quoted(_BACKSLASH + "u")}, lpad(conv(substring(e, 2, 3), 8, 16), 4, '0'))
   WHEN e = {quoted(r"\a")} THEN {quoted(r"\u0007")}
   WHEN e = {quoted(r"\v")} THEN {quoted(r"\u000b")}
-  WHEN rlike(e, {quoted(_UNKNOWN_ESCAPE)}) THEN concat({quoted(chr(92))}, e)
+  WHEN rlike(e, {quoted(_UNKNOWN_ESCAPE)}) THEN concat({quoted(_BACKSLASH)}, e)
   ELSE e END"""
 _ESCAPES_TO_JSON = f"""t -> CASE
-  WHEN NOT contains(t, {quoted(chr(92))}) THEN t
+  WHEN NOT contains(t, {quoted(_BACKSLASH)}) THEN t
   WHEN rlike(t, {quoted(_OTHER_ESCAPE)})
   THEN array_join(transform(regexp_extract_all(t, {quoted(_ESCAPE)}, 1), e -> {_ONE_ESCAPE}), '')
   ELSE t END"""

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from gildmill.functions import nested, parsing, text
 from gildmill.operators import filters
 from gildmill.queries.registry import (
-    day_text,
     query,
     sql_flat,
     sql_list_text,
