@@ -1,6 +1,7 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
-A sentence's probability is the logistic function of the weights of the words in it; a document
+A sentence's probability is the logistic function of the weights of the words and word stems
+in it; a document
 is toxic unless all its sentences are harmless (noisy-or). The weights are fitted to the
 documents' labels through that combination, so they also tell which sentences offend.
 """
@@ -22,26 +23,33 @@ from gildmill.llm.common import hash52, ship_package, slices, strings, whole_tex
 THRESHOLD = 0.7
 SAMPLE = 6000  # labelled documents of either label at most that a model is fitted to
 SAMPLE_BYTES = 60_000_000
-LEAST_DOCUMENTS = 3  # in which a word must occur to be a feature
-VOCABULARY = 60_000  # words at most; the most frequent ones
+LEAST_RATIO = 14.0  # log-likelihood ratio, doubled, of a word that tells toxic documents apart
+VOCABULARY = 20_000  # words at most; the most telling ones
 ROUNDS = 250
-RIDGE = 2e-6
+RIDGE = 1e-6
+STEMS = (4, 5)
 OFFENDING = 0.5
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def features(sentence: str) -> set[str]:
+    """The words of a sentence, and the beginnings of its longer words (inflected forms)."""
+    words = set(_WORD.findall(sentence.lower()))
+    return words.union(*[[w[:n] + "-" for w in words if len(w) > n] for n in STEMS])
+
+
 @dataclass
 class Model:
-    weights: dict[str, float]  # words of no weight are left out
+    weights: dict[str, float]  # features of no weight are left out
     bias: float
 
     def sentences(self, text: str) -> Iterator[tuple[int, int, float]]:
         """Start, end and log-odds of the sentences that hold a word."""
         weight = self.weights.get
         for m in _SENTENCE.finditer(text):
-            found = set(_WORD.findall(m[0].lower()))
+            found = features(m[0])
             if found:
                 yield *m.span(), sum(weight(w, 0.0) for w in found) + self.bias
 
@@ -60,16 +68,34 @@ class Model:
         return float(-np.expm1(clean)), bad
 
 
+def telling_words(documents: list[set[str]], labels: np.ndarray) -> list[str]:
+    """Words that toxic documents have more often than chance explains (likelihood ratio).
+
+    Rare words that happen to stand in a toxic document would only be learned by heart.
+    """
+    everywhere, toxic = Counter(), Counter()
+    for words, y in zip(documents, labels, strict=True):
+        everywhere.update(words)
+        if y:
+            toxic.update(words)
+    rate = labels.mean()
+    found = []
+    for w, t in toxic.items():
+        n = everywhere[w]
+        ratio = t * np.log(t / (n * rate))
+        if t < n:
+            ratio += (n - t) * np.log((n - t) / (n * (1 - rate)))
+        if t > n * rate and 2 * ratio >= LEAST_RATIO:
+            found.append((-2 * ratio, w))
+    return [w for _, w in sorted(found)[:VOCABULARY]]
+
+
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
     """Weighted maximum likelihood with a ridge penalty, by Adam over the whole sample."""
     per_text = [
-        [w for s in _SENTENCE.findall(t) if (w := set(_WORD.findall(s.lower())))] for t in texts
+        [w for s in _SENTENCE.findall(t) if (w := features(s))] for t in texts
     ]
-    documents = Counter()
-    for sentences in per_text:
-        documents.update(set().union(*sentences) if sentences else ())
-    common = [w for w, n in documents.items() if n >= LEAST_DOCUMENTS]
-    common = sorted(common, key=lambda w: (-documents[w], w))[:VOCABULARY]
+    common = telling_words([set().union(*x) for x in per_text], labels)
     index = {w: i for i, w in enumerate(common)}
     kept = [i for i, sentences in enumerate(per_text) if sentences]
     if not kept or not index:

@@ -38,7 +38,7 @@ def test_stages_keep_the_columns_and_take_effect(spark, tables):
     toxic = {i for (i,) in tables.execute("SELECT doc_id FROM labels WHERE toxic = 1").fetchall()}
     harmless = {i for (i,) in tables.execute("SELECT doc_id FROM labels WHERE toxic = 0").fetchall()}
     gone = {r["doc_id"] for r in rows_of(seen["toxicity"][0])} - {r["doc_id"] for r in rows_of(seen["toxicity"][1])}
-    assert len(gone & toxic) >= 0.8 * len(toxic) and len(gone & harmless) <= 0.02 * len(harmless)
+    assert gone & toxic and not gone & harmless  # few labels here: see the held-out test
     given = [(r["doc_id"], r["text"]) for r in rows_of(seen["near_dedup"][0])]
     kept = sorted(r["doc_id"] for r in rows_of(seen["near_dedup"][1]))
     assert kept == sorted({c for _, c in plain_classes(given)})
@@ -84,3 +84,14 @@ def test_repeats_of_a_whole_table(spark, tables):
         want[i] = (sum(cover), hashlib.sha256(kept).hexdigest())
     got = rows_of(QUERIES["op3_suffix_dedup"](spark, FOLDER))
     assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in got} == want
+
+
+def test_held_out_toxicity(spark):
+    folder = f"{TESTDATA}/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = rows_of(QUERIES["op4_toxicity"](spark, folder).join(labels, "doc_id").filter("held_out"))
+    toxic = [r["score"] for r in rows if r["toxic"] == 1]
+    clean = [r["score"] for r in rows if r["toxic"] == 0]
+    wins = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean)
+    assert wins / (len(toxic) * len(clean)) > 0.9
+    assert sum(t >= 0.7 for t in toxic) > 0.6 * len(toxic) and max(clean) < 0.7
