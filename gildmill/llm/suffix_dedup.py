@@ -364,14 +364,26 @@ def _common_grams(hot: DataFrame) -> DataFrame:
     )
     shared = windows.groupBy("part").agg(F.sum("n").alias("copies")).filter("copies > 1")
     single = windows.join(shared.select("part"), "part").select("gram", "digest", "at", "end")
-    return (
-        whole.union(single)
-        .groupBy("gram", "digest")
-        .agg(
-            F.sort_array(
-                F.collect_set(F.struct(F.col("at").alias("a"), F.col("end").alias("b")))
-            ).alias("runs")
-        )
+    runs = F.collect_set(F.struct(F.col("at").alias("a"), F.col("end").alias("b")))
+    found = whole.union(single).groupBy("gram", "digest").agg(F.sort_array(runs).alias("runs"))
+    return found.withColumn("runs", _joined("runs"))
+
+
+def _joined(runs: str):
+    """Sorted runs with those that touch made one; a stretch has some hundred windows at most."""
+    last = lambda done: F.element_at(done, -1)
+
+    def longer(done, r):
+        end = F.greatest(last(done)["b"], r["b"])
+        grown = F.array(F.struct(last(done)["a"].alias("a"), end.alias("b")))
+        return F.concat(F.slice(done, 1, F.size(done) - 1), grown)
+
+    return F.aggregate(
+        runs,
+        F.array().cast(_RUNS),
+        lambda done, r: F.when(
+            (F.size(done) > 0) & (last(done)["b"] + 1 >= r["a"]), longer(done, r)
+        ).otherwise(F.concat(done, F.array(r))),
     )
 
 
@@ -512,22 +524,27 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     hot = pieces.filter("hot")
     runs = sorted_runs.union(_common_grams(hot)) if not hot.isEmpty() else sorted_runs
-    spans = (
-        members.join(runs.filter(F.size("runs") > 0), ["gram", "digest"])
-        .select("node", "first", F.explode("runs").alias("r"))
-        .select(
-            "node",
-            (F.col("first") + F.col("r.a")).alias("start"),
-            (F.col("first") + F.col("r.b") + LENGTH).alias("end"),
-        )
+    # a stretch's runs stay one row, as bytes from the start of the text
+    spans = members.join(runs.filter(F.size("runs") > 0), ["gram", "digest"]).select(
+        "node",
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                (F.col("first") + r["a"]).alias("start"),
+                (F.col("first") + r["b"] + LENGTH).alias("end"),
+            ),
+        ).alias("spans"),
     )
     whole = members.join(alike, "gram").select(
-        "node", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end")
+        "node",
+        F.array(
+            F.struct(F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
+        ).alias("spans"),
     )
     by_text = (
         spans.union(whole)
         .groupBy("node")
-        .agg(F.collect_list(F.struct("start", "end")).alias("found"))
+        .agg(F.flatten(F.collect_list("spans")).alias("found"))
     )
     cleaned = (
         texts.join(by_text, "node", "left")
