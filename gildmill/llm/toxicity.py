@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from gildmill.llm.common import hash52, ship_package, slices, strings, whole_text
 
 THRESHOLD = 0.7
-SAMPLE = 6000  # labelled documents of either label at most that a model is fitted to
-SAMPLE_BYTES = 60_000_000
+SAMPLE = 3000  # labelled documents of either label at most that a model is fitted to
+SAMPLE_BYTES = 24_000_000
+LEAST_DOCUMENTS = 3  # toxic ones that a feature must occur in
 LEAST_RATIO = 14.0  # log-likelihood ratio, doubled, of a word that tells toxic documents apart
 VOCABULARY = 20_000  # words at most; the most telling ones
 ROUNDS = 250
@@ -68,20 +69,23 @@ class Model:
         return float(-np.expm1(clean)), bad
 
 
-def telling_words(documents: list[set[str]], labels: np.ndarray) -> list[str]:
-    """Words that toxic documents have more often than chance explains (likelihood ratio).
+def telling_words(texts: list[str], labels: np.ndarray) -> list[str]:
+    """Features that toxic documents have more often than chance explains (likelihood ratio).
 
     Rare words that happen to stand in a toxic document would only be learned by heart.
     """
-    everywhere, toxic = Counter(), Counter()
-    for words, y in zip(documents, labels, strict=True):
-        everywhere.update(words)
+    toxic, clean = Counter(), Counter()
+    for text, y in zip(texts, labels, strict=True):
         if y:
-            toxic.update(words)
+            toxic.update(features(text))
+    toxic = {w: t for w, t in toxic.items() if t >= LEAST_DOCUMENTS}
+    for text, y in zip(texts, labels, strict=True):
+        if not y:
+            clean.update(w for w in features(text) if w in toxic)
     rate = labels.mean()
     found = []
     for w, t in toxic.items():
-        n = everywhere[w]
+        n = t + clean[w]
         ratio = t * np.log(t / (n * rate))
         if t < n:
             ratio += (n - t) * np.log((n - t) / (n * (1 - rate)))
@@ -92,23 +96,22 @@ def telling_words(documents: list[set[str]], labels: np.ndarray) -> list[str]:
 
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
     """Weighted maximum likelihood with a ridge penalty, by Adam over the whole sample."""
-    per_text = [
-        [w for s in _SENTENCE.findall(t) if (w := features(s))] for t in texts
-    ]
-    common = telling_words([set().union(*x) for x in per_text], labels)
-    index = {w: i for i, w in enumerate(common)}
-    kept = [i for i, sentences in enumerate(per_text) if sentences]
+    index = {w: i for i, w in enumerate(telling_words(texts, labels))}
+    columns, sizes, counts, kept = [], [], [], []
+    for i, text in enumerate(texts):
+        before = len(sizes)
+        for sentence in _SENTENCE.findall(text):
+            if found := features(sentence):
+                own = sorted(index[w] for w in found if w in index)
+                columns.extend(own)
+                sizes.append(len(own))
+        if len(sizes) > before:
+            counts.append(len(sizes) - before)
+            kept.append(i)
     if not kept or not index:
         return Model({}, -30.0)
     y, c = labels[kept].astype(float), weights[kept] / weights[kept].sum()
-    columns, sizes, counts = [], [], []
-    for i in kept:
-        counts.append(len(per_text[i]))
-        for sentence in per_text[i]:
-            own = [index[w] for w in sorted(sentence) if w in index]
-            columns.extend(own)
-            sizes.append(len(own))
-    columns, sizes, counts = np.array(columns), np.array(sizes), np.array(counts)
+    columns, sizes, counts = np.array(columns, int), np.array(sizes), np.array(counts)
     row = np.repeat(np.arange(len(sizes)), sizes)
     owner = np.repeat(np.arange(len(counts)), counts)
     starts = np.cumsum(counts) - counts
