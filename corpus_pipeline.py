@@ -19,7 +19,7 @@ from gildmill.llm.common import materialize, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; the model learns from the labelled ones."""
     labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
-    model = toxicity.train(toxicity.training_rows(docs, labels))
+    model = toxicity.train(docs, labels)
     scored = toxicity.score_toxicity(docs, model)
     return scored.filter(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
 

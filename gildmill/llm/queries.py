@@ -72,7 +72,7 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     learn = labels.filter(~toxicity.held_out())
-    model = toxicity.train(toxicity.training_rows(docs, learn))
+    model = toxicity.train(docs, learn)
     scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",

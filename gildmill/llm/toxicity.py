@@ -18,7 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gildmill.llm.common import hash52, ship_package, slices, strings, whole_text
+from gildmill.llm.common import (
+    hash52,
+    materialize,
+    ship_package,
+    slices,
+    strings,
+    whole_text,
+)
 
 THRESHOLD = 0.7
 SAMPLE = 3000  # labelled documents of either label at most that a model is fitted to
@@ -134,42 +141,54 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
     return Model({x: float(w[i]) for x, i in index.items() if strong[i]}, float(b))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """(doc_id, text, toxic) of labelled rows; a null label is none."""
-    marked = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
-    marked = marked.agg(F.max(F.col("toxic").cast("int")).alias("__toxic"))
-    given = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
-    return given.join(marked, F.col("doc_id") == F.col("__id")).select(
-        "doc_id", "text", F.col("__toxic").alias("toxic")
-    )
-
-
-def train(rows: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    """Fit to a bounded sample of (doc_id, text, toxic).
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> Model:
+    """Fit to a bounded sample of the documents that ``labels`` (doc_id, toxic) marks.
 
     The sample has at most ``sample`` documents of either label, those of the lowest id hashes;
-    ``sample_bytes`` bounds the bytes brought to the driver. Within the sample, documents are
-    weighed so that the labels keep their shares among all labelled rows. Only counts are taken
-    of the rest. Without rows of both labels nothing is toxic.
+    ``sample_bytes`` bounds the bytes brought to the driver. Within it, documents are weighed so
+    that the labels keep their shares among all labelled rows. Only ids and sizes are joined
+    with the labels; texts are fetched for the chosen ids alone, whose number is bounded and
+    which are therefore broadcast. A null label is none; an id marked both ways is toxic; rows
+    that repeat an id give one text. Without rows of both labels nothing is toxic.
     """
+    marked = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id")
+    marked = marked.agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    sizes = docs.select(
+        F.col(doc_id).alias("doc_id"), F.octet_length(whole_text(text)).alias("size")
+    )
+    rows = materialize(
+        sizes.join(marked, "doc_id").withColumn("key", hash52(F.lit("toxicity"), F.col("doc_id"))),
+        "labelled",
+    )
     shares = {
         r["toxic"]: (r["n"], r["mean"])
         for r in rows.groupBy("toxic")
-        .agg(F.count("*").alias("n"), F.avg(F.octet_length("text")).alias("mean"))
+        .agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
         .collect()
     }
     if set(shares) != {0, 1}:
         return Model({}, -30.0)
-    keyed = rows.withColumn("key", hash52(F.lit("toxicity"), F.col("doc_id")))
     parts = []
     for toxic in (1, 0):
-        n, mean = shares[toxic]
-        room = min(sample, int(sample_bytes / 2 / max(1.0, mean)))
-        # a hash threshold first: it keeps the sort for the exact limit small
-        share = min(1.0, 2.0 * room / n + 100.0 / n)
-        chosen = keyed.filter((F.col("toxic") == toxic) & (F.col("key") < int(share * (1 << 52))))
-        parts.append(chosen.orderBy("key", "text").limit(room))
-    picked = parts[0].union(parts[1]).toPandas().sort_values(["key", "text"], kind="stable")
+        room = min(sample, max(1, int(sample_bytes / 2 / max(1.0, shares[toxic][1]))))
+        chosen = rows.filter(F.col("toxic") == toxic).select("doc_id", "toxic", "key")
+        parts.append(chosen.orderBy("key", "doc_id").limit(room))
+    chosen = materialize(parts[0].union(parts[1]).distinct(), "sample")
+    picked = (
+        docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic", "key")
+        .agg(F.min("text").alias("text"))
+        .toPandas()
+        .sort_values(["key", "doc_id"], kind="stable")
+    )
     y = picked["toxic"].to_numpy()
     weight = np.array([shares[int(t)][0] / max(1, (y == t).sum()) for t in y])
     return fit(picked["text"].tolist(), y, weight)

@@ -236,7 +236,7 @@ def labelled(n, seed):
 def test_toxicity_is_learned_from_documents_and_found_in_sentences(spark):
     rows, labels = labelled(900, 1)
     table = spark.createDataFrame(labels, "doc_id long, toxic int")
-    model = toxicity.train(toxicity.training_rows(docs(spark, rows), table))
+    model = toxicity.train(docs(spark, rows), table)
     fresh, truth = labelled(400, 2)
     got = {r["doc_id"]: r for r in rows_of(toxicity.score_toxicity(clashing(spark, fresh), model))}
     right = sum((got[i]["toxicity"] >= 0.7) == bool(t) for i, t in truth)
@@ -251,13 +251,13 @@ def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame(
         [(1, 1), (3, 0), (3, 0), (4, None), (9, 0), (None, 1)], "doc_id long, toxic int"
     )
-    model = toxicity.train(toxicity.training_rows(docs(spark), labels))
+    model = toxicity.train(docs(spark), labels)
     got = rows_of(toxicity.score_toxicity(clashing(spark), model))
     assert len(got) == len(ROWS) and all(0 <= r["toxicity"] <= 1 for r in got)
     assert all(r["toxicity"] == 0 for r in got if not (r["text"] or "").strip())
-    none = toxicity.train(toxicity.training_rows(empty(spark), labels))
+    none = toxicity.train(empty(spark), labels)
     assert toxicity.score_toxicity(empty(spark), none).count() == 0
-    one_kind = toxicity.train(toxicity.training_rows(docs(spark), labels.filter("toxic = 1")))
+    one_kind = toxicity.train(docs(spark), labels.filter("toxic = 1"))
     assert all(r["toxicity"] < 0.01 for r in rows_of(toxicity.score_toxicity(docs(spark), one_kind)))
 
 
@@ -273,7 +273,7 @@ def test_the_sample_is_bounded(spark):
 
     toxicity.fit = spy
     try:
-        toxicity.train(toxicity.training_rows(docs(spark, rows), table), sample=20)
+        toxicity.train(docs(spark, rows), table, sample=20)
     finally:
         toxicity.fit = real
     assert sizes == [(20, 20, 300)]
