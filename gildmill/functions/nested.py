@@ -117,8 +117,9 @@ def _exact_parser(element: T.StructType):
                 items = ast.literal_eval(text)
                 return [
                     {n: None if i.get(n) is None else str(i[n]) for n in names}
-                    for i in items
                     if isinstance(i, dict)
+                    else None  # keeps the places of the others
+                    for i in items
                 ]
             except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
                 return None

@@ -125,8 +125,9 @@ class _BestRows:
         for start in range(0, len(self.queries), _TILE):
             tile = np.round(unit @ self.queries[start : start + _TILE].T, SCORE_DIGITS)
             at, col = np.nonzero(tile >= self.floor[None, start : start + _TILE])
-            for c in np.unique(col):
-                mine = at[col == c]
+            order = np.argsort(col, kind="stable")
+            hits, firsts = np.unique(col[order], return_index=True)
+            for c, mine in zip(hits, np.split(at[order], firsts[1:])):
                 self._merge(start + c, ids.take(pa.array(rows[mine])), tile[mine, c])
 
     def _merge(self, q: int, ids: pa.Array, scores: np.ndarray) -> None:
@@ -185,7 +186,8 @@ def nearest_batch(
     Queries measured below ``query_block_bytes`` travel to every task and the
     corpus is not shuffled; a task sends on its best ``k`` rows per query only.
     More queries are split into blocks, as is the corpus, and each pair of blocks
-    is one group of bounded size.
+    is one group of bounded size. All query vectors must have one length; null ones
+    find nothing.
     """
     corpus = corpus.select(id_col, vector_col)
     queries = queries.select(query_id_col, query_vector_col)
@@ -196,6 +198,10 @@ def nearest_batch(
             T.StructField("score", T.DoubleType()),
         ]
     )
+    size = F.when(F.col(query_vector_col).isNotNull(), F.size(query_vector_col))
+    low, high = queries.agg(F.min(size), F.max(size)).first()
+    if low != high:
+        raise ValueError(f"queries have {low} to {high} dimensions, not one number")
     query_bytes = measured_bytes(queries)
     if query_bytes <= query_block_bytes:
         query_ids, unit = _query_block(queries.toArrow())

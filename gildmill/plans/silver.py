@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gildmill.functions import nested, parsing, text
 from gildmill.operators import dedup, filters, joins
-from gildmill.operators.columns import empty_like, rewrite_present
+from gildmill.operators.columns import rewrite_present
 from gildmill.plans import schemas as S
 from gildmill.sources.readers import read_optional_csv
 from gildmill.sources.writers import write_and_read, write_table
@@ -42,7 +42,8 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
 
     Equal rows need no step of their own: both reductions below order by all
     columns, so equal rows share their group and one of them is kept. Of several
-    rows for one id the fullest is kept.
+    rows for one id the fullest is kept, and only then near duplicates leave: a row
+    that goes for its title never takes along the last row of another.
     """
     df = df.withColumn("id", parsing.normalize_id(F.col("id")))
     df = filters.require_columns(df, ["id", "title"])
@@ -63,7 +64,8 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
         ).cast("float"),
     )
     df = rewrite_present(df, ["genres"], lambda c: _list_text(c, policy))
-    df = dedup.near_duplicates_removed(
+    df = dedup.first_per_key(df, ["id"], dedup.fullest_first(df))
+    return dedup.near_duplicates_removed(
         df,
         "title",
         ["release_date"],
@@ -71,7 +73,6 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
         dedup.fullest_first(df, ["id"]),
         text.fold_key_no_punctuation if policy.ignore_punctuation else text.fold_key,
     )
-    return dedup.first_per_key(df, ["id"], dedup.fullest_first(df))
 
 
 def clean_child(
@@ -114,9 +115,9 @@ def clean_ratings(df: DataFrame) -> DataFrame:
 
 
 def linked_ratings(ratings: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Ratings with the mapped id. Without a mapping no rating can be placed: none remain."""
+    """Ratings with the mapped id. Without a mapping all ratings stay, with null ids."""
     if links is None:
-        return empty_like(ratings, {**dict(ratings.dtypes), **LOST_KEYS})
+        return ratings.withColumns({k: F.lit(None).cast(t) for k, t in LOST_KEYS.items()})
     return joins.map_keys(ratings, clean_links(links), "movieId", "tmdbId", "id")
 
 
@@ -129,11 +130,11 @@ def bronze_to_silver(
     movies that were kept and the cleaning runs once.
     """
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
-    movies = read_optional_csv(spark, f"{bronze}/{S.MOVIES_FILE}", S.BRONZE_MOVIES, True)
-    credits = read_optional_csv(spark, f"{bronze}/{S.CREDITS_FILE}", S.BRONZE_CREDITS, True)
-    keywords = read_optional_csv(spark, f"{bronze}/{S.KEYWORDS_FILE}", S.BRONZE_KEYWORDS, True)
-    ratings = read_optional_csv(spark, f"{bronze}/{S.RATINGS_FILE}", S.BRONZE_RATINGS)
-    links = read_optional_csv(spark, f"{bronze}/{S.LINKS_FILE}", S.BRONZE_LINKS)
+    movies = read_optional_csv(spark, f"{bronze}/{S.MOVIES_FILE}", S.BRONZE_MOVIES, True, ["id", "title"])
+    credits = read_optional_csv(spark, f"{bronze}/{S.CREDITS_FILE}", S.BRONZE_CREDITS, True, ["id"])
+    keywords = read_optional_csv(spark, f"{bronze}/{S.KEYWORDS_FILE}", S.BRONZE_KEYWORDS, True, ["id"])
+    ratings = read_optional_csv(spark, f"{bronze}/{S.RATINGS_FILE}", S.BRONZE_RATINGS, required=["userId", "movieId", "rating"])
+    links = read_optional_csv(spark, f"{bronze}/{S.LINKS_FILE}", S.BRONZE_LINKS, required=["movieId", "tmdbId"])
 
     out: dict[str, DataFrame] = {}
     if movies is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -33,20 +34,37 @@ def read_csv(
     schema: T.StructType,
     multi_line: bool = False,
     keep_corrupt: bool = False,
+    required: list[str] | None = None,
 ) -> DataFrame:
-    """Headered CSV from a path, directory, glob or list of paths.
+    """Headered CSV from a path, directory, glob or list of paths, read by column name.
 
-    ``multi_line`` accepts quoted newlines. Spark cannot split such a file, so a
-    large table should come as many files. ``keep_corrupt`` adds the raw text of
-    rows that do not fit the schema.
+    Each path may order its columns in its own way and may lack some: those are null, unless
+    they are ``required``, then an error is raised. Files of one path must have one header;
+    others raise when read. ``multi_line`` accepts quoted newlines. Spark cannot split such a
+    file, so a large table should come as many files. ``keep_corrupt`` adds the raw text of
+    rows that do not fit.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-    if multi_line:
-        reader = reader.option("multiLine", True)
-    if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    return reader.schema(schema).csv(paths)
+    options = {
+        "header": True, "escape": '"', "mode": "PERMISSIVE", "multiLine": multi_line,
+        "enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+    }
+    out = None
+    for path in [paths] if isinstance(paths, str) else paths:
+        names = spark.read.options(**options).csv(path).columns
+        missing = [c for c in required or [] if c not in names]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        header = text_schema(names)
+        if keep_corrupt:
+            header = header.add(CORRUPT_COLUMN, T.StringType())
+        raw = spark.read.options(**options).schema(header).csv(path)
+        columns = [
+            (F.col(f"`{f.name}`") if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+        df = raw.select(*columns, *([CORRUPT_COLUMN] if keep_corrupt else []))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def read_optional(spark: SparkSession, read) -> DataFrame | None:
@@ -62,9 +80,15 @@ def read_optional(spark: SparkSession, read) -> DataFrame | None:
 
 
 def read_optional_csv(
-    spark: SparkSession, paths, schema: T.StructType, multi_line: bool = False
+    spark: SparkSession,
+    paths,
+    schema: T.StructType,
+    multi_line: bool = False,
+    required: list[str] | None = None,
 ) -> DataFrame | None:
-    return read_optional(spark, lambda s: read_csv(s, paths, schema, multi_line))
+    return read_optional(
+        spark, lambda s: read_csv(s, paths, schema, multi_line, required=required)
+    )
 
 
 def read_optional_parquet(spark: SparkSession, path: str) -> DataFrame | None:
