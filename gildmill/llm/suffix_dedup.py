@@ -474,7 +474,11 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .mapInArrow(_gram_task, "node binary, gram long, first long, last long, place long"),
         "grams",
     )
-    again = grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # counts are written before they are joined: a side that is a plain scan lets Spark split
+    # the partition of a hot gram
+    again = materialize(
+        grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "again"
+    )
     found = (
         grams.join(again, "gram")
         .groupBy("node")
@@ -484,12 +488,18 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         texts.join(found, "node").select("node", "text", "found").mapInArrow(_digest_task, _MEMBER),
         "stretches",
     )
-    distinct = members.groupBy("gram", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("node", "first", "last", "place")).alias("at")
+    distinct = materialize(
+        members.groupBy("gram", "digest").agg(
+            F.count("*").alias("n"), F.min(F.struct("node", "first", "last", "place")).alias("at")
+        ),
+        "kinds",
     )
-    groups = distinct.groupBy("gram").agg(
-        F.count("*").alias("kinds"),
-        F.sum(F.col("at.last") - F.col("at.first") + LENGTH).alias("bytes"),
+    groups = materialize(
+        distinct.groupBy("gram").agg(
+            F.count("*").alias("kinds"),
+            F.sum(F.col("at.last") - F.col("at.first") + LENGTH).alias("bytes"),
+        ),
+        "groups",
     )
     # a gram with one kind of stretch: its copies repeat whole
     alike = groups.filter("kinds = 1").select("gram")
