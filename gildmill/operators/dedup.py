@@ -41,6 +41,11 @@ def fullest_first(df: DataFrame, first: list[str] | None = None) -> list[Column]
     return [*lead, count.desc(), *total_order(df)]
 
 
+def digest(c: Column) -> Column:
+    """A short key in place of a long text; null stays null."""
+    return F.sha2(c.cast("binary"), 256)
+
+
 def first_per_key(
     df: DataFrame, keys: list[str | Column], order_by: list[str | Column] | None = None
 ) -> DataFrame:
@@ -63,7 +68,8 @@ def near_duplicates_removed(
     Rows with an empty folded title or a null extra key are unlike each other, so
     they are never merged. Each is its own group by ``unique_key`` (default: all
     columns, which merges equal rows only); that also keeps them out of one hot
-    group.
+    group. The folded title is compared by its SHA-256, so keys stay short however long
+    the text is.
     """
     extra_keys = extra_keys or []
     unique = unique_key or df.columns
@@ -72,5 +78,5 @@ def near_duplicates_removed(
     apart = [F.when(~mergeable, F.col(c)) for c in unique]
     order = total_order(df, unique_key) if order_by is None else order_by
     return first_per_key(
-        df, [mergeable, F.when(mergeable, folded), *[F.col(k) for k in extra_keys], *apart], order
+        df, [mergeable, F.when(mergeable, digest(folded)), *[F.col(k) for k in extra_keys], *apart], order
     )

@@ -108,7 +108,7 @@ def left_join_agg(spark: SparkSession, folder: str) -> DataFrame:
 
 def _unique_documents(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return dedup.first_per_key(docs, ["text"], ["doc_id"])
+    return dedup.first_per_key(docs, [dedup.digest(F.col("text"))], ["doc_id"])
 
 
 _SQL_UNIQUE = "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text"

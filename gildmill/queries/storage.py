@@ -120,7 +120,8 @@ SELECT (SELECT count(*) FROM documents) AS source_rows,
 """)
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    kept = dedup.first_per_key(docs.select("doc_id", "text"), ["text"], ["doc_id"])
+    text_key = dedup.digest(F.col("text"))
+    kept = dedup.first_per_key(docs.select("doc_id", "text"), [text_key], ["doc_id"])
     return metrics.reconcile(docs, kept, "doc_id")
 
 

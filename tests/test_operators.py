@@ -54,6 +54,18 @@ def test_dedup_is_idempotent_and_order_free(spark, titles):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_near_duplicate_keys_are_short(spark):
+    """Texts are neither moved nor sorted: the exchange and the sort hold their digests."""
+    df = spark.createDataFrame([("A b", 1), ("a B ", 2), ("c", 3)], "title string, id int").repartition(2)
+    kept = dedup.near_duplicates_removed(df, "title", unique_key=["id"], order_by=["id"]).select("id")
+    assert ids(kept) == [1, 3]
+    window = plan_of(kept, "formatted").split("WindowGroupLimit")[-1]
+    assert "sha2(" in plan_of(kept, "formatted")
+    for line in window.splitlines():
+        if line.startswith("Arguments") and ("hashpartitioning" in line or "ASC" in line):
+            assert "title" not in line
+
+
 def test_equal_rows_without_unique_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("", 1), ("", 1), ("", 2)], "title string, n int")
     kept = dedup.near_duplicates_removed(df, "title")
