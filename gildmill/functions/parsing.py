@@ -17,8 +17,11 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 ISO_DAY_LOOSE = r"^(\d{4}-\d{1,2}-\d{1,2})$"
 ISO_DATE_TIME = r"^(\d{4}-\d{1,2}-\d{1,2})[T ]\d{1,2}:\d{2}.*$"
+SLASHED_DAY = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
 US_DAY = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 EU_DAY = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
+SHORT_MONTH_DAY = r"^[A-Za-z]{3} \d{1,2}, \d{4}$"
+SHORT_MONTH_FORMAT = "MMM d, yyyy"
 MONTH_NAME_DAY = r"^[A-Za-z]+ \d{1,2}, \d{4}$"
 MONTH_NAME_FORMAT = "MMMM d, yyyy"
 AMOUNT = r"^\s*-?\s*[€$£]?\s*-?[\d.,\s]*\d[\d.,\s]*([A-Z]{3})?\s*$"
@@ -42,15 +45,17 @@ def parse_iso_date(c: Column) -> Column:
 
 _DAY = f"""t -> CASE
   WHEN rlike(t, {quoted(ISO_DAY_LOOSE)}) THEN try_cast(t AS DATE)
+  WHEN rlike(t, {quoted(SLASHED_DAY)}) THEN try_cast(translate(t, '/', '-') AS DATE)
   WHEN rlike(t, {quoted(US_DAY)}) THEN try_cast(regexp_replace(t, {quoted(US_DAY)}, '$3-$1-$2') AS DATE)
   WHEN rlike(t, {quoted(EU_DAY)}) THEN try_cast(regexp_replace(t, {quoted(EU_DAY)}, '$3-$2-$1') AS DATE)
+  WHEN rlike(t, {quoted(SHORT_MONTH_DAY)}) THEN try_to_date(t, {quoted(SHORT_MONTH_FORMAT)})
   WHEN rlike(t, {quoted(MONTH_NAME_DAY)}) THEN try_to_date(t, {quoted(MONTH_NAME_FORMAT)})
   WHEN rlike(t, {quoted(ISO_DATE_TIME)})
   THEN try_cast(regexp_extract(t, {quoted(ISO_DATE_TIME)}, 1) AS DATE) END"""
 
 
 def parse_date(c: Column) -> Column:
-    """ISO, dotted, US ``M/d/y``, European ``d-M-y`` and ``Month d, y`` dates.
+    """ISO, dotted, slashed ``y/M/d``, US ``M/d/y``, European ``d-M-y`` and month-name dates.
 
     The separator decides the order, so one pattern applies to each value.
     """

@@ -103,6 +103,12 @@ def test_currency(spark):
     assert apply(spark, ["-1", "7"], lambda c: parsing.parse_currency(c, minimum=0.0)) == [0.0, 7.0]
 
 
+def test_slashed_and_short_month_dates(spark):
+    raw = ["1995/10/30", "1995/1/5", "Oct 30, 1995", "May 5, 1995", "May 50, 1995", "1995/13/01", "Foo 1, 1995"]
+    got = apply(spark, raw, lambda c: parsing.parse_date(c).cast("string"))
+    assert got == ["1995-10-30", "1995-01-05", "1995-10-30", "1995-05-05", None, None, None]
+
+
 def test_currency_of_other_countries(spark):
     check(
         spark,
