@@ -24,8 +24,8 @@ SHORT_MONTH_DAY = r"^[A-Za-z]{3} \d{1,2}, \d{4}$"
 SHORT_MONTH_FORMAT = "MMM d, yyyy"
 MONTH_NAME_DAY = r"^[A-Za-z]+ \d{1,2}, \d{4}$"
 MONTH_NAME_FORMAT = "MMMM d, yyyy"
-AMOUNT = r"^\s*-?\s*[€$£]?\s*-?[\d.,\s]*\d[\d.,\s]*([A-Z]{3})?\s*$"
-EURO_CODE = r"EUR\s*$"
+AMOUNT = r"^\s*-?\s*([€$£]|[A-Z]{3})?\s*-?[\d.,\s]*\d[\d.,\s]*([€$£]|[A-Z]{3})?\s*$"
+EURO_CODE = r"^[\s-]*EUR|EUR\s*$"
 NOT_AMOUNT = r"[^0-9.,\-]"
 DOTS_GROUP = r"\..*[,.]"
 EURO_TAIL = r"(^-?\d{1,3}\.\d{3}|,\d{1,2})$"
@@ -96,7 +96,7 @@ _NUMBER = f"t -> CASE WHEN rlike(t, {quoted(NUMBER)}) THEN try_cast(t AS DOUBLE)
 def parse_currency_intl(
     c: Column, default: float | None = 0.0, minimum: float | None = None
 ) -> Column:
-    """Amounts in either grouping style, with a sign or a three-letter code.
+    """Amounts in either grouping style, with a sign or a three-letter code on either side.
 
     Dots group and the comma is the decimal sign when a dot stands before a
     comma, when there are several dots, or when a euro amount ends in ``.ddd``

@@ -11,16 +11,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from gildmill.functions.text import snippet
 from gildmill.operators.joins import measured_bytes
+from gildmill.sources.writers import scratch_path
 
 DEFAULT_LIMIT = 10
 # Scores are rounded before ranking, so equal vectors tie whatever the batch shape.
 SCORE_DIGITS = 9
 QUERY_BLOCK_BYTES = 32 * 1024 * 1024
-CORPUS_BLOCK_BYTES = 128 * 1024 * 1024
+# A tile of scores is at most 512 queries by 4096 rows, 16 MB.
 _TILE = 512
+_ROWS = 4096
 
 # The fields of a search hit, and the text shown for absent ones.
 RESULT_FIELDS = [
@@ -114,48 +117,53 @@ def nearest(
 class _BestRows:
     """Running best ``k`` rows of every query, over batches of unit vectors."""
 
-    def __init__(self, query_ids: pa.Array, queries: np.ndarray, k: int):
-        self.query_ids, self.queries, self.k = query_ids, queries, k
-        self.ids: list[list] = [[] for _ in range(len(queries))]
-        self.scores: list[np.ndarray] = [np.empty(0) for _ in range(len(queries))]
+    def __init__(self, query_ids: pa.Array, queries: np.ndarray, k: int, schema: pa.Schema):
+        self.query_ids, self.queries, self.k, self.schema = query_ids, queries, k, schema
+        self.best: dict[int, pa.Table] = {}
         self.floor = np.full(len(queries), -np.inf)
 
     def add(self, ids: pa.Array, vectors: pa.Array) -> None:
-        rows, unit = _unit_rows(vectors, self.queries.shape[1])
-        for start in range(0, len(self.queries), _TILE):
-            tile = np.round(unit @ self.queries[start : start + _TILE].T, SCORE_DIGITS)
-            at, col = np.nonzero(tile >= self.floor[None, start : start + _TILE])
-            order = np.argsort(col, kind="stable")
-            hits, firsts = np.unique(col[order], return_index=True)
-            for c, mine in zip(hits, np.split(at[order], firsts[1:])):
-                self._merge(start + c, ids.take(pa.array(rows[mine])), tile[mine, c])
-
-    def _merge(self, q: int, ids: pa.Array, scores: np.ndarray) -> None:
-        all_scores = np.concatenate([self.scores[q], scores])
-        if len(all_scores) > self.k:
-            # Rows below the k-th best score cannot rank; ties at it are all kept.
-            limit = np.partition(all_scores, -self.k)[-self.k]
-            keep = np.flatnonzero(all_scores >= limit)
-        else:
-            keep = np.arange(len(all_scores))
-        held = self.ids[q] + ids.to_pylist()
-        best = sorted(((-all_scores[i], held[i]) for i in keep))[: self.k]
-        self.scores[q] = np.array([-s for s, _ in best])
-        self.ids[q] = [i for _, i in best]
-        if len(best) == self.k:
-            self.floor[q] = self.scores[q][-1]
-
-    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        for start in range(0, len(self.queries), _TILE):
-            part = range(start, min(start + _TILE, len(self.queries)))
-            counts = [len(self.ids[q]) for q in part]
-            which = np.repeat(np.array(part), counts)
+        for at in range(0, len(ids), _ROWS):
+            rows, unit = _unit_rows(vectors.slice(at, _ROWS), self.queries.shape[1])
+            if len(rows):
+                mine = ids.slice(at, _ROWS).take(pa.array(rows))
+                for start in range(0, len(self.queries), _TILE):
+                    self._add_tile(start, mine, unit)
+
+    def _add_tile(self, start: int, ids: pa.Array, unit: np.ndarray) -> None:
+        """Rows below a query's k-th best score cannot rank; ties at it are all kept."""
+        floor = self.floor[start : start + _TILE]
+        tile = np.round(self.queries[start : start + _TILE] @ unit.T, SCORE_DIGITS)
+        hit = tile >= floor[:, None]
+        many = np.flatnonzero(hit.sum(axis=1) > self.k)
+        if len(many):
+            limit = np.partition(tile[many], -self.k, axis=1)[:, -self.k]
+            hit[many] &= tile[many] >= limit[:, None]
+        q, row = np.nonzero(hit)
+        if not len(q):
+            return
+        new = pa.table({"q": q, "score": tile[q, row], "id": ids.take(pa.array(row))})
+        held = self.best.get(start)
+        both = new if held is None else pa.concat_tables([held, new])
+        both = both.sort_by([("q", "ascending"), ("score", "descending"), ("id", "ascending")])
+        q = both["q"].to_numpy()
+        first = np.searchsorted(q, np.arange(len(floor)))
+        kept = both.filter(pa.array(np.arange(len(q)) - first[q] < self.k)).combine_chunks()
+        self.best[start] = kept
+        q, scores = kept["q"].to_numpy(), kept["score"].to_numpy()
+        full = np.bincount(q, minlength=len(floor)) == self.k
+        last = np.searchsorted(q, np.arange(len(floor)), side="right") - 1
+        floor[full] = scores[last[full]]
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for start, kept in self.best.items():
+            which = pa.array(kept["q"].to_numpy() + start)
             columns = [
-                self.query_ids.take(pa.array(which)).cast(schema.types[0]),
-                pa.array([i for q in part for i in self.ids[q]], schema.types[1]),
-                pa.array(np.concatenate([self.scores[q] for q in part]), schema.types[2]),
+                self.query_ids.take(which).cast(self.schema.types[0]),
+                _combined(kept["id"]).cast(self.schema.types[1]),
+                _combined(kept["score"]),
             ]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
 
 
 def _combined(column) -> pa.Array:
@@ -179,15 +187,14 @@ def nearest_batch(
     query_vector_col: str,
     k: int = DEFAULT_LIMIT,
     query_block_bytes: int = QUERY_BLOCK_BYTES,
-    corpus_block_bytes: int = CORPUS_BLOCK_BYTES,
 ) -> DataFrame:
     """The exact ``k`` nearest rows of every query.
 
-    Queries measured below ``query_block_bytes`` travel to every task and the
-    corpus is not shuffled; a task sends on its best ``k`` rows per query only.
-    More queries are split into blocks, as is the corpus, and each pair of blocks
-    is one group of bounded size. All query vectors must have one length; null ones
-    find nothing.
+    Queries travel to the tasks in blocks of some ``query_block_bytes``, measured
+    first. Each block is one pass over the corpus, which is never copied or shuffled; a
+    task sends on its best ``k`` rows per query only, and a pass is written before
+    the next one starts. Query ids must be unique. All query vectors must have one
+    length; null ones find nothing.
     """
     corpus = corpus.select(id_col, vector_col)
     queries = queries.select(query_id_col, query_vector_col)
@@ -202,60 +209,44 @@ def nearest_batch(
     low, high = queries.agg(F.min(size), F.max(size)).first()
     if low != high:
         raise ValueError(f"queries have {low} to {high} dimensions, not one number")
-    query_bytes = measured_bytes(queries)
-    if query_bytes <= query_block_bytes:
-        query_ids, unit = _query_block(queries.toArrow())
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = _BestRows(query_ids, unit, k)
-            for b in batches:
-                best.add(b.column(0), b.column(1))
-            yield from best.batches(schema)
-
-        schema = _arrow_schema(out)
-        partial = corpus.mapInArrow(scan, out)
+    blocks = math.ceil(measured_bytes(queries) / query_block_bytes) or 1
+    if blocks == 1:
+        partial = _nearest_of_block(corpus, queries, k, out)
     else:
-        partial = _nearest_by_blocks(
-            corpus,
-            queries,
-            k,
-            out,
-            math.ceil(query_bytes / query_block_bytes),
-            math.ceil(measured_bytes(corpus) / corpus_block_bytes) or 1,
-        )
+        partial = _nearest_by_passes(corpus, queries, k, out, blocks)
     order = Window.partitionBy(query_id_col).orderBy(F.desc("score"), F.col(id_col))
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _arrow_schema(out: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+def _nearest_of_block(
+    corpus: DataFrame, block: DataFrame, k: int, out: T.StructType
+) -> DataFrame:
+    query_ids, unit = _query_block(block.toArrow())
+    schema = to_arrow_schema(out)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _BestRows(query_ids, unit, k, schema)
+        for b in batches:
+            best.add(b.column(0), b.column(1))
+        yield from best.batches()
 
-    return to_arrow_schema(out)
+    return corpus.mapInArrow(scan, out)
 
 
-def _nearest_by_blocks(
-    corpus: DataFrame, queries: DataFrame, k: int, out: T.StructType, nq: int, nc: int
+def _nearest_by_passes(
+    corpus: DataFrame, queries: DataFrame, k: int, out: T.StructType, blocks: int
 ) -> DataFrame:
-    def block(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumns(
-            {
-                own: F.pmod(F.xxhash64(df.columns[0]), F.lit(n_own)),
-                other: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))),
-            }
-        )
-
-    c = block(corpus, "_c", nc, "_q", nq).groupBy("_c", "_q")
-    q = block(queries, "_q", nq, "_c", nc).groupBy("_c", "_q")
-    schema = _arrow_schema(out)
-
-    def pair(corpus_block: pa.Table, query_block: pa.Table) -> pa.Table:
-        if not len(corpus_block) or not len(query_block):
-            return pa.Table.from_batches([], schema=schema)
-        best = _BestRows(*_query_block(query_block), k)
-        best.add(_combined(corpus_block.column(0)), _combined(corpus_block.column(1)))
-        return pa.Table.from_batches(best.batches(schema), schema=schema)
-
-    return c.cogroup(q).applyInArrow(pair, out)
+    """One pass per block of queries. Blocks divide by hash, so their sizes are alike."""
+    spark = corpus.sparkSession
+    number = F.pmod(F.xxhash64(queries.columns[0]), F.lit(blocks)).cast("int")
+    divided = scratch_path(spark, "query-blocks")
+    queries.withColumn("_block", number).write.partitionBy("_block").parquet(divided)
+    found = scratch_path(spark, "nearest")
+    for n in range(blocks):
+        block = spark.read.parquet(divided).where(F.col("_block") == n).drop("_block")
+        hits = _nearest_of_block(corpus, block, k, out)
+        hits.write.mode("append").parquet(found)
+    return spark.read.schema(out).parquet(found)
 
 
 def result_fields(df: DataFrame, fields: list[str] | None = None) -> DataFrame:

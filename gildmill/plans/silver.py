@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gildmill.functions import nested, parsing, text
@@ -12,7 +12,7 @@ from gildmill.operators import dedup, filters, joins
 from gildmill.operators.columns import rewrite_present
 from gildmill.plans import schemas as S
 from gildmill.sources.readers import read_optional_csv
-from gildmill.sources.writers import write_and_read, write_table
+from gildmill.sources.writers import write_and_read
 
 MOVIE_TEXT = ["title", "overview", "tagline"]
 MOVIE_AMOUNTS = ["budget", "revenue"]
@@ -121,13 +121,33 @@ def linked_ratings(ratings: DataFrame, links: DataFrame | None) -> DataFrame:
     return joins.map_keys(ratings, clean_links(links), "movieId", "tmdbId", "id")
 
 
+class SilverTables(dict[str, DataFrame]):
+    """The written tables by name; ``counts`` has (rows read, rows written) of each."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.counts: dict[str, tuple[int, int]] = {}
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows counted as they pass."""
+    rows = Observation()
+    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+
+
+def _undivided(df: DataFrame) -> DataFrame:
+    """Spread rows that one task per file has read, ahead of the repairs and sorts."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def bronze_to_silver(
     spark: SparkSession, bronze: str, silver: str, policy: CleaningPolicy = DEFAULT_POLICY
-) -> dict[str, DataFrame]:
-    """Read whichever input files exist, write one table each, return them.
+) -> SilverTables:
+    """Read whichever input files exist, write one table each, return them with row counts.
 
     Movies are written first and read back, so orphan removal sees exactly the
-    movies that were kept and the cleaning runs once.
+    movies that were kept and the cleaning runs once. Rows are counted while the
+    tables are written: no input is read twice for it.
     """
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     movies = read_optional_csv(spark, f"{bronze}/{S.MOVIES_FILE}", S.BRONZE_MOVIES, True, ["id", "title"])
@@ -136,24 +156,30 @@ def bronze_to_silver(
     ratings = read_optional_csv(spark, f"{bronze}/{S.RATINGS_FILE}", S.BRONZE_RATINGS, required=["userId", "movieId", "rating"])
     links = read_optional_csv(spark, f"{bronze}/{S.LINKS_FILE}", S.BRONZE_LINKS, required=["movieId", "tmdbId"])
 
-    out: dict[str, DataFrame] = {}
+    out = SilverTables()
+
+    def store(name: str, raw: DataFrame, clean, table: str) -> None:
+        raw, rows_in = _counted(raw)
+        cleaned, rows_out = _counted(clean(raw))
+        out[name] = write_and_read(cleaned, f"{silver}/{table}")
+        out.counts[name] = (rows_in.get["rows"], rows_out.get["rows"])
+
+    def child_cleaner(lists: list[str]):
+        def clean(raw: DataFrame) -> DataFrame:
+            child = raw.withColumn("id", parsing.normalize_id(F.col("id")))
+            if "movies" in out:
+                # Orphans leave before the dedup shuffle; neither step affects the other.
+                child = joins.drop_orphans(child, out["movies"], "id")
+            return clean_child(_undivided(child), "id", lists, policy)
+
+        return clean
+
     if movies is not None:
-        out["movies"] = write_and_read(clean_movies(movies, policy), f"{silver}/{S.MOVIES_TABLE}")
-    children = {
-        "credits": (credits, ["cast", "crew"], S.CREDITS_TABLE),
-        "keywords": (keywords, ["keywords"], S.KEYWORDS_TABLE),
-    }
-    for name, (child, lists, table) in children.items():
-        if child is None:
-            continue
-        child = child.withColumn("id", parsing.normalize_id(F.col("id")))
-        if "movies" in out:
-            # Orphans leave before the dedup shuffle; neither step affects the other.
-            child = joins.drop_orphans(child, out["movies"], "id")
-        child = clean_child(child, "id", lists, policy)
-        out[name] = write_and_read(child, f"{silver}/{table}")
+        store("movies", movies, lambda raw: clean_movies(_undivided(raw), policy), S.MOVIES_TABLE)
+    if credits is not None:
+        store("credits", credits, child_cleaner(["cast", "crew"]), S.CREDITS_TABLE)
+    if keywords is not None:
+        store("keywords", keywords, child_cleaner(["keywords"]), S.KEYWORDS_TABLE)
     if ratings is not None:
-        placed = linked_ratings(clean_ratings(ratings), links)
-        write_table(placed, f"{silver}/{S.RATINGS_TABLE}")
-        out["ratings"] = spark.read.parquet(f"{silver}/{S.RATINGS_TABLE}")
+        store("ratings", ratings, lambda raw: linked_ratings(clean_ratings(raw), links), S.RATINGS_TABLE)
     return out

@@ -110,6 +110,14 @@ def parse_currency_intl(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(european, F.lit(" EUR")),
         F.concat(F.lit("  "), F.col("o_totalprice").cast("decimal(20,2)").cast("string")),
     )
+    other_side = _by_priority(
+        F.concat(grouped, F.lit("$")),
+        F.concat(european, F.lit(" €")),
+        F.concat(F.lit("USD "), grouped),
+        F.concat(F.lit("EUR "), european),
+        F.concat(european, F.lit("€")),
+    )
+    raw = F.when(F.col("o_orderkey") % 2 == 0, raw).otherwise(other_side)
     orders = spread_table(spark, folder, "orders", "o_orderkey")
     return orders.select("o_orderkey", F.round(parsing.parse_currency_intl(raw), 2).alias("amount"))
 

@@ -6,7 +6,7 @@ for keywords, line items for ratings and parts for the id mapping.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildmill.functions import nested
@@ -14,6 +14,7 @@ from gildmill.operators import search
 from gildmill.plans import documents, gold, schemas, silver
 from gildmill.queries.cleaning import crew_text
 from gildmill.queries.registry import (
+    ORACLES,
     query,
     spread_table,
     sql_flat,
@@ -23,7 +24,9 @@ from gildmill.queries.registry import (
     words,
 )
 from gildmill.queries.storage import write_csv
-from gildmill.sources.writers import scratch_path
+from gildmill.shipping import ship_package
+from gildmill.sources.file_client import FileClient
+from gildmill.sources.writers import scratch_path, write_table
 
 
 def messy_movies(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,8 +159,8 @@ def clean_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def write_bronze(spark: SparkSession, folder: str) -> str:
-    """The messy tables as CSV files in a new folder."""
+def write_bronze(spark: SparkSession, folder: str, *only: str) -> str:
+    """The messy tables as CSV files in a new folder, columns unlike any schema's order."""
     bronze = scratch_path(spark, "bronze")
     tables = {
         "movies_metadata.csv": (messy_movies, schemas.BRONZE_MOVIES),
@@ -167,9 +170,11 @@ def write_bronze(spark: SparkSession, folder: str) -> str:
         schemas.LINKS_FILE: (messy_links, schemas.BRONZE_LINKS),
     }
     for name, (make, schema) in tables.items():
+        if only and name not in only:
+            continue
         df = make(spark, folder)
         absent = {c: F.lit(None).cast("string") for c in schema.names if c not in df.columns}
-        write_csv(df.withColumns(absent).select(*schema.names), f"{bronze}/{name}")
+        write_csv(df.withColumns(absent).select(*sorted(schema.names)[::-1]), f"{bronze}/{name}")
     return bronze
 
 
@@ -203,6 +208,68 @@ def silver_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {_SQL_MOVIES}, {_SQL_CREDITS}, {_SQL_RATINGS}
+SELECT 'movies' AS tab, (SELECT count(*) FROM documents) AS rows_in, (SELECT count(*) FROM movies) AS rows_out
+UNION ALL
+SELECT 'credits', (SELECT count(*) FROM conversations),
+  (SELECT count(*) FROM credits WHERE id IN (SELECT id FROM movies))
+UNION ALL
+SELECT 'keywords', (SELECT count(*) FROM benchmark),
+  (SELECT count(DISTINCT item_id) FROM benchmark WHERE CAST(item_id AS VARCHAR) IN (SELECT id FROM movies))
+UNION ALL
+SELECT 'ratings', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM ratings)
+""")
+def silver_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    out = silver.bronze_to_silver(spark, write_bronze(spark, folder), scratch_path(spark, "silver"))
+    rows = [(name, *counts) for name, counts in out.counts.items()]
+    return spark.createDataFrame(rows, "tab string, rows_in bigint, rows_out bigint")
+
+
+@query("""
+SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
+  round(l_quantity / 10, 4) AS rating, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day,
+  CAST(NULL AS VARCHAR) AS id
+FROM lineitem WHERE l_quantity / 10 BETWEEN 0.5 AND 5.0
+""")
+def silver_without_links(spark: SparkSession, folder: str) -> DataFrame:
+    bronze = write_bronze(spark, folder, schemas.RATINGS_FILE)
+    kept = silver.bronze_to_silver(spark, bronze, scratch_path(spark, "silver"))["ratings"]
+    return kept.select(
+        F.col("userId").alias("user_id"),
+        F.col("movieId").alias("movie_id"),
+        F.round(F.col("rating").cast("double"), 4).alias("rating"),
+        F.date_from_unix_date(F.col("timestamp").try_cast("int")).cast("string").alias("day"),
+        "id",
+    )
+
+
+@query("""
+SELECT CAST(2 * doc_id AS VARCHAR) AS id, CASE WHEN lang = 'en' THEN 'First ' ELSE 'Second ' END || doc_id AS title
+FROM documents
+UNION ALL
+SELECT CAST(2 * doc_id + 1 AS VARCHAR), 'Second ' || doc_id FROM documents WHERE lang = 'en'
+""")
+def clean_entities_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    """One id with two titles, and one of these titles under a second id.
+
+    Of the two titles the first stays where both rows are equally full, and then so
+    does the second id; elsewhere the second title's row is the fuller one.
+    """
+    docs = table(spark, folder, "documents").select("doc_id", "lang")
+    even, odd = (2 * F.col("doc_id")).cast("string"), (2 * F.col("doc_id") + 1).cast("string")
+    extra = F.when(F.col("lang") != "en", F.lit("a tagline"))
+    none = F.lit(None).cast("string")
+
+    def row(key: Column, title: str, tagline: Column) -> Column:
+        name = F.concat(F.lit(title), F.col("doc_id").cast("string"))
+        return F.struct(key.alias("id"), name.alias("title"), tagline.alias("tagline"))
+
+    rows = F.array(row(even, "First ", none), row(even, "Second ", extra), row(odd, "Second ", none))
+    messy = docs.select(F.inline(rows)).withColumn("release_date", F.lit("1995-10-30"))
+    return silver.clean_movies(messy).select("id", "title")
+
+
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
     """Gold rows straight from the messy tables, without files between the jobs."""
     movies = silver.clean_movies(messy_movies(spark, folder))
@@ -214,7 +281,7 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
     return gold.enrich_movies(movies, credits, keywords, ratings, sides_are_unique=True)
 
 
-_SQL_GOLD = f"""{_SQL_MOVIES}, {_SQL_CREDITS}, {_SQL_RATINGS},
+SQL_GOLD = f"""{_SQL_MOVIES}, {_SQL_CREDITS}, {_SQL_RATINGS},
 agg AS (SELECT id, avg(rating) AS avg_rating, count(rating) AS rating_count FROM ratings GROUP BY id),
 cr AS (SELECT id, list_filter(list_slice({sql_words("text")}, 1, 5), lambda w: w <> '') AS top_cast,
        nullif({sql_words("text")}[-1], '') AS director FROM credits),
@@ -246,7 +313,7 @@ _SQL_FLAT_LISTS = """array_to_string(genre_list, '|') AS genre_list, array_to_st
 
 
 @query(f"""
-WITH {_SQL_GOLD}
+WITH {SQL_GOLD}
 SELECT id, title, CAST(release_date AS VARCHAR) AS release_date, overview, tagline, director, {_SQL_FLAT_LISTS}
 FROM gold
 """)
@@ -255,7 +322,7 @@ def gold_enrich(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-WITH {_SQL_GOLD}
+WITH {SQL_GOLD}
 SELECT id AS tmdb_id, title, CAST(release_date AS VARCHAR) || 'T00:00:00Z' AS release_date,
   coalesce(overview, '') AS overview, coalesce(tagline, '') AS tagline, coalesce(director, '') AS director,
   {_SQL_FLAT_LISTS}
@@ -265,6 +332,51 @@ def build_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(documents.build_documents(enriched(spark, folder)))
 
 
+@query(ORACLES["gold_enrich"])
+def silver_to_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Both jobs on files: messy CSV to silver, silver to gold."""
+    lake = scratch_path(spark, "silver")
+    silver.bronze_to_silver(spark, write_bronze(spark, folder), lake)
+    return _flat(gold.silver_to_gold(spark, lake, scratch_path(spark, "gold")))
+
+
+def _stored_gold(spark: SparkSession, folder: str) -> str:
+    path = scratch_path(spark, "gold")
+    write_table(enriched(spark, folder), f"{path}/{schemas.MOVIES_TABLE}")
+    return path
+
+
+_SQL_LOADED = ORACLES["build_documents"].replace(
+    "SELECT id AS tmdb_id", "SELECT count(*) OVER () AS source_rows, count(*) OVER () AS sink_rows, id AS tmdb_id"
+)
+
+
+@query(_SQL_LOADED)
+def gold_to_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The load as JSON files, read back, each row beside the job's own account."""
+    path, target = _stored_gold(spark, folder), scratch_path(spark, "documents")
+    report = documents.gold_to_documents(spark, path, target).select("source_rows", "sink_rows")
+    return _loaded(spark, path, target, report)
+
+
+@query(_SQL_LOADED)
+def document_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The load in batches through a client that writes a file per batch."""
+    ship_package(spark)
+    path, target = _stored_gold(spark, folder), scratch_path(spark, "collection")
+    client = "gildmill.sources.file_client:connect"
+    report = documents.gold_to_documents(spark, path, client=client, folder=target)
+    return _loaded(spark, path, FileClient({"folder": target}).collection(), report)
+
+
+def _loaded(spark: SparkSession, gold_path: str, files: str, report: DataFrame) -> DataFrame:
+    source = spark.read.parquet(f"{gold_path}/{schemas.MOVIES_TABLE}")
+    schema = documents.build_documents(source).schema
+    account = report.first().asDict()
+    stored = _flat(spark.read.schema(schema).json(files))
+    return stored.withColumns({c: F.lit(n) for c, n in account.items()})
+
+
 @query(f"""
 WITH first_turn AS (
   SELECT CAST(conv_id AS VARCHAR) AS id, {sql_flat("text")} AS overview,
@@ -284,16 +396,18 @@ def embeddable_only(spark: SparkSession, folder: str) -> DataFrame:
     return documents.keep_embeddable(joined)
 
 
-@query(f"""
-WITH {_SQL_GOLD}, best AS (
-  SELECT *, row_number() OVER (ORDER BY round(avg_rating, 6) DESC, id) AS rank FROM gold
-  WHERE avg_rating IS NOT NULL ORDER BY rank LIMIT 10)
-SELECT CAST(rank AS INT) AS rank, title, CAST(release_date AS VARCHAR) AS release_date,
+SQL_CARD = r"""CAST(rank AS INT) AS rank, title, CAST(release_date AS VARCHAR) AS release_date,
   coalesce(director, 'Unknown director') AS director, array_to_string(top_cast, ', ') AS top_cast,
   printf('%.2f', round(avg_rating, 2)) || ' (' || rating_count || ' ratings)' AS rating,
   CASE WHEN overview = '' THEN '(no overview available)' WHEN length(overview) <= 240 THEN overview
-    ELSE regexp_extract(overview, '^(.{{0,237}}) ', 1) || '...' END AS overview
-FROM best
+    ELSE regexp_extract(overview, '^(.{0,237}) ', 1) || '...' END AS overview"""
+
+
+@query(f"""
+WITH {SQL_GOLD}, best AS (
+  SELECT *, row_number() OVER (ORDER BY round(avg_rating, 6) DESC, id) AS rank FROM gold
+  WHERE avg_rating IS NOT NULL ORDER BY rank LIMIT 10)
+SELECT {SQL_CARD} FROM best
 """)
 def result_cards(spark: SparkSession, folder: str) -> DataFrame:
     scored = enriched(spark, folder).withColumn("score", F.round("avg_rating", 6))

@@ -60,3 +60,27 @@ def sql_list_text(array: str, template: str = "{'name': '%s'}") -> str:
         f"'[' || array_to_string(list_transform({array}, "
         f"lambda w: replace('{shape}', '%s', {escaped})), ', ') || ']'"
     )
+
+
+def sql_term_search(source: str, doc: str, text: str, query: str, k: int) -> str:
+    """CTEs up to ``hits`` (id, rank, score): TF-IDF cosine of ``query`` over a table."""
+    return rf"""
+ask AS ({query}),
+bag AS (SELECT {doc} AS id, {_sql_terms(text)} AS words FROM {source} WHERE {text} IS NOT NULL),
+post AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(words) AS term FROM bag) GROUP BY id, term),
+num AS (SELECT count(*) AS n FROM bag),
+idfs AS (SELECT term, ln((max(n) + 1.0) / (count(*) + 1.0)) AS idf FROM post, num GROUP BY term),
+lens AS (SELECT id, sqrt(sum(tf * idf * tf * idf)) AS norm FROM post JOIN idfs USING (term) GROUP BY id),
+qtf AS (SELECT term, count(*) AS tf FROM (SELECT unnest({_sql_terms("q")}) AS term FROM ask) GROUP BY term),
+qw AS (SELECT term, tf * coalesce(idf, ln(n + 1.0)) AS w, idf FROM qtf LEFT JOIN idfs USING (term), num),
+dots AS (SELECT id, sum(tf * qw.idf * w) AS dot FROM post JOIN qw USING (term) GROUP BY id),
+scores AS (
+  SELECT bag.id, round(coalesce(dot / nullif(norm * (SELECT sqrt(sum(w * w)) FROM qw), 0), 0), 9) AS score
+  FROM bag LEFT JOIN lens USING (id) LEFT JOIN dots USING (id)),
+hits AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM scores
+         ORDER BY rank LIMIT {k})"""
+
+
+def _sql_terms(text: str) -> str:
+    broken = rf"string_split_regex(lower({text}), '[^\p{{L}}\p{{M}}\p{{N}}]+')"
+    return f"list_filter({broken}, lambda t: t <> '')"

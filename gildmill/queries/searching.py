@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gildmill.operators import dedup, encode, search
+from gildmill.operators.joins import measured_bytes
 from gildmill.plans import documents
-from gildmill.queries.jobs import enriched
-from gildmill.queries.registry import query, spread_table, table
+from gildmill.plans.schemas import MOVIES_TABLE
+from gildmill.queries.jobs import SQL_CARD, SQL_GOLD, enriched
+from gildmill.queries.registry import query, spread_table, sql_term_search, table
 from gildmill.shipping import ship_package
+from gildmill.sources.writers import materialize, scratch_path, write_table
 
 K = 10
 
@@ -83,6 +89,27 @@ def search_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 = 0),
+s AS (
+  SELECT query_id, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), v) AS exact_score
+  FROM embeddings, q),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY exact_score DESC, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, CAST(rank AS INT) AS rank, round(exact_score, 6) AS score FROM r WHERE rank <= {K}
+""")
+def search_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every twentieth vector asks, in three passes over the corpus."""
+    ship_package(spark)
+    corpus = table(spark, folder, "embeddings")
+    asked = corpus.where(F.col("vec_id") % 20 == 0)
+    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    third = math.ceil(measured_bytes(asked) / 3) or 1
+    hits = search.nearest_batch(
+        corpus, asked, "vec_id", "embedding", "query_id", "query", K, query_block_bytes=third
+    )
+    return _rounded(hits)
+
+
 @query("""
 SELECT CAST(1 AS INT) AS rank, vec_id, label, CAST(0 AS DOUBLE) AS score FROM embeddings WHERE label < 0
 """)
@@ -121,19 +148,68 @@ def encode_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+_SQL_FIRST_ITEM = "SELECT text AS q FROM benchmark ORDER BY item_id LIMIT 1"
+
+
+def _first_item(spark: SparkSession, folder: str) -> str:
+    return table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
+
+
+@query(f"""
+WITH {sql_term_search("documents", "doc_id", "text", _SQL_FIRST_ITEM, K)}
+SELECT CAST(rank AS INT) AS rank, doc_id, lang, round(score, 6) AS score
+FROM hits JOIN documents ON doc_id = id
+""")
 def tfidf_search(spark: SparkSession, folder: str) -> DataFrame:
     docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "text")
-    text = table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
-    model = encode.fit_tfidf(docs, "text")
-    hits = encode.search_tfidf(model, docs, text, "doc_id", K)
+    index = encode.index_terms(docs, "text", "doc_id", scratch_path(spark, "terms"))
+    hits = encode.search_terms(index, docs, _first_item(spark, folder), K)
     return _rounded(hits.select("rank", "doc_id", "lang", "score"))
 
 
-@query()
+@query(f"""
+WITH {SQL_GOLD}, {sql_term_search("gold", "id", "combined_text", _SQL_FIRST_ITEM, K)}
+SELECT {SQL_CARD} FROM hits JOIN gold USING (id)
+""")
 def search_cards(spark: SparkSession, folder: str) -> DataFrame:
-    from gildmill.sources.writers import materialize
-
     gold = materialize(enriched(spark, folder), "gold")
-    text = table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
-    return documents.search_gold(gold, text, K)
+    return documents.search_gold(gold, _first_item(spark, folder), K)
+
+
+_LETTERS = " aeinorst"
+
+
+def _letter_vectors():
+    """A small encoder: how often each of some letters occurs, and the length."""
+    import numpy
+
+    def model(texts: list[str]):
+        counts = [[t.count(c) for c in _LETTERS] + [len(t)] for t in texts]
+        return numpy.array(counts, dtype="float32").reshape(len(texts), len(_LETTERS) + 1)
+
+    return model
+
+
+def _sql_letter_vector(text: str) -> str:
+    counts = [f"length({text}) - length(replace({text}, '{c}', ''))" for c in _LETTERS]
+    return f"CAST([{', '.join(counts)}, length({text})] AS DOUBLE[])"
+
+
+@query(f"""
+WITH {SQL_GOLD}, ask AS (SELECT '1991' AS q),
+scores AS (
+  SELECT id, round(list_cosine_similarity({_sql_letter_vector("combined_text")}, {_sql_letter_vector("q")}), 9)
+    AS score FROM gold, ask WHERE year(release_date) = 1991),
+hits AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM scores
+         WHERE score IS NOT NULL ORDER BY rank LIMIT {K})
+SELECT {SQL_CARD} FROM hits JOIN gold USING (id)
+""")
+def search_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents are loaded with vectors, and the query goes through the same encoder."""
+    ship_package(spark)
+    gold, target = scratch_path(spark, "gold"), scratch_path(spark, "documents")
+    write_table(enriched(spark, folder), f"{gold}/{MOVIES_TABLE}")
+    documents.gold_to_documents(spark, gold, target, load_encoder=_letter_vectors)
+    shape = documents.build_documents(spark.read.parquet(f"{gold}/{MOVIES_TABLE}")).schema
+    stored = spark.read.schema(shape.add("vector", T.ArrayType(T.FloatType()))).json(target)
+    return documents.search_documents(stored, "1991", _letter_vectors, K, "year")

@@ -37,6 +37,23 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def csv_header_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Two paths, each with its own column order; one lacks an optional column."""
+    orders = table(spark, folder, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    columns = ["o_orderpriority", "o_totalprice", "o_orderkey", "o_orderstatus"]
+    first = orders.where(odd).select(*columns)
+    second = orders.where(~odd).select("o_orderstatus", "o_orderkey", "o_custkey")
+    paths = [write_csv(df, writers.scratch_path(spark, "csv")) for df in (first, second)]
+    schema = readers.text_schema(["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    return readers.read_csv(spark, paths, schema, required=["o_orderkey", "o_orderstatus"])
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
 def csv_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string"), "text", "lang")

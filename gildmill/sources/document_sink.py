@@ -1,18 +1,28 @@
 """Batch document sink as a Spark data source: each task sends its rows in batches.
 
-The client is named as ``module:factory`` and built inside the task from the
-sink's options. It needs ``reset()`` (drop and recreate the collection, called
-once before the job), ``send(batch)`` (a list of dictionaries) and ``close()``.
+The client is named as ``module:factory`` and built from the sink's options, to which a
+name of the ``load`` and, in a task, the number of the ``task`` are added. It needs
+
+* ``prepare()``: make an empty collection for this load beside the present one,
+* ``send(batch)``: add a list of dictionaries to it,
+* ``publish(documents)``: put it in the present one's place,
+* ``discard()``: drop it, as the job failed,
+* ``count()``: the documents in the present collection,
+* ``close()``.
+
 A retried task sends its rows again, so ``send`` must upsert by the document key.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import closing
 from dataclasses import dataclass
 from importlib import import_module
 from itertools import batched
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
@@ -27,9 +37,10 @@ class SentDocuments(WriterCommitMessage):
     batches: int
 
 
-def _client(options: dict):
+def connect(options: dict):
+    """The client that the options name, closed at the end of a ``with`` block."""
     module, _, factory = options["client"].partition(":")
-    return getattr(import_module(module), factory)(options)
+    return closing(getattr(import_module(module), factory)(options))
 
 
 class DocumentBatchWriter(DataSourceWriter):
@@ -39,27 +50,21 @@ class DocumentBatchWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> SentDocuments:
         documents = batches = 0
-        client = _client(self.options)
-        try:
+        task = str(TaskContext.get().partitionId())
+        with connect({**self.options, "task": task}) as client:
             for batch in batched(iterator, self.batch_size):
                 client.send([row.asDict(recursive=True) for row in batch])
                 documents += len(batch)
                 batches += 1
-        finally:
-            client.close()
         return SentDocuments(documents, batches)
 
     def commit(self, messages) -> None:
-        client = _client(self.options)
-        try:
-            done = getattr(client, "done", None)
-            if done is not None:
-                done(sum(m.documents for m in messages if m is not None))
-        finally:
-            client.close()
+        with connect(self.options) as client:
+            client.publish(sum(m.documents for m in messages if m is not None))
 
     def abort(self, messages) -> None:
-        pass
+        with connect(self.options) as client:
+            client.discard()
 
 
 class DocumentBatches(DataSource):
@@ -68,20 +73,24 @@ class DocumentBatches(DataSource):
         return FORMAT
 
     def writer(self, schema: StructType, overwrite: bool) -> DocumentBatchWriter:
-        options = dict(self.options)
-        if overwrite:
-            client = _client(options)
-            try:
-                client.reset()
-            finally:
-                client.close()
+        if not overwrite:
+            raise ValueError("the document sink replaces its collection: use mode overwrite")
+        options = {**self.options, "load": uuid.uuid4().hex}
+        with connect(options) as client:
+            client.prepare()
         return DocumentBatchWriter(options)
 
 
 def send_documents(
     spark: SparkSession, df: DataFrame, client: str, batch_size: int = BATCH_SIZE, **options
-) -> None:
-    """Replace a collection with the rows of ``df``, sent from the executors."""
+) -> int:
+    """Replace a collection with the rows of ``df``, sent from the executors.
+
+    The old collection stays until all tasks are done, and for good if one fails.
+    Returns how many documents the collection then holds.
+    """
     spark.dataSource.register(DocumentBatches)
     writer = df.write.format(FORMAT).mode("overwrite").option("client", client)
     writer.option("batchsize", batch_size).options(**options).save()
+    with connect({**options, "client": client}) as loaded:
+        return loaded.count()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,18 +30,35 @@ def write_documents(df: DataFrame, path: str, fmt: str = "json") -> None:
     writer.format(fmt).save(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder that the session names.
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="gildmill-")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This session's own folder under the shared folder that the session names.
 
     Only a local session without that setting gets a temporary folder.
     """
+    application = spark.sparkContext.applicationId
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gildmill-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = _local_root(application)
+    return f"{root.rstrip('/')}/gildmill-{application}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in this session's scratch folder."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch tables of this session; DataFrames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -121,6 +121,7 @@ def test_silver_children_and_ratings(lake):
     ratings = sorted((r["id"], r["userId"], r["rating"]) for r in tables["ratings"].collect())
     assert ratings == [("862", "1", 4.0), ("862", "2", 2.0), ("8844", "5", 0.5)]
     assert {"movieId", "imdbId", "tmdbId"} <= set(tables["ratings"].columns)
+    assert tables.counts == {"movies": (15, 7), "credits": (4, 2), "keywords": (2, 1), "ratings": (7, 3)}
 
 
 def test_gold(lake):
@@ -198,6 +199,13 @@ def test_documents(spark, lake, tmp_path):
         documents.gold_to_documents(spark, str(root / "gold"))
 
 
+DOCUMENT_DDL = (
+    "tmdb_id string, title string, release_date string, overview string, tagline string, "
+    "genre_list array<string>, keyword_list array<string>, director string, "
+    "top_cast array<string>, avg_rating double, rating_count bigint, combined_text string"
+)
+
+
 def test_documents_with_vectors(spark, lake, tmp_path):
     def load():
         import numpy
@@ -209,22 +217,29 @@ def test_documents_with_vectors(spark, lake, tmp_path):
     docs = spark.read.schema("title string, combined_text string, vector array<float>").json(target)
     query = docs.where("title = 'Casino'").first()["vector"]
     assert query == [6.0, 1.0, 1.0]
+    whole = spark.read.schema(f"{DOCUMENT_DDL}, vector array<float>").json(target)
+    with pytest.raises(ValueError):
+        documents.search_documents(whole, "Casino", load, 3, "year")
+    found = documents.search_documents(whole, "Casino", load, 1).first()
+    assert found["title"] == "Casino"
+    john = documents.search_documents(whole, "john", load, field="director").collect()
+    assert [r["title"] for r in john] == ["Toy Story"]
     best = search.nearest(docs, "title", "vector", query, 1).first()
     assert (best["title"], best["score"]) == ("Casino", 1.0)
 
 
-def test_search(lake):
+def test_search(lake, tmp_path):
     wide = lake[2]
-    model = encode.fit_tfidf(wide, "combined_text")
-    cards = documents.search_gold(wide, "a shy waitress", 3, model=model).orderBy("rank").collect()
+    index = encode.index_terms(wide, "combined_text", "id", str(tmp_path))
+    cards = documents.search_gold(wide, "a shy waitress", 3, index=index).orderBy("rank").collect()
     assert cards[0]["title"] == "Amélie" and cards[0]["director"] == "Unknown director"
-    john = documents.search_gold(wide, "John", field="director", model=model).collect()
+    john = documents.search_gold(wide, "John", field="director", index=index).collect()
     assert [(r["title"], r["rating"]) for r in john] == [("Toy Story", "3.00 (2 ratings)")]
-    year = documents.search_gold(wide, "1995", field="year", model=model)
+    year = documents.search_gold(wide, "1995", field="year", index=index)
     assert sorted(r["title"] for r in year.collect()) == ["Casino", "GoldenEye", "Jumanji", "Toy Story"]
     for query, field in [("", None), ("soon", "year"), ("x", "studio")]:
         with pytest.raises(ValueError):
-            documents.search_gold(wide, query, field=field, model=model)
+            documents.search_gold(wide, query, field=field, index=index)
 
 
 def test_gold_joins_add_no_exchange(spark, lake):

@@ -123,6 +123,12 @@ def test_currency_of_other_countries(spark):
             ("€1.500", 1500.0),
             ("€1.50", 1.5),
             ("€30,000,000", 30000000.0),
+            ("1.234,50 €", 1234.5),
+            ("30.000.000€", 30000000.0),
+            ("USD 1,234", 1234.0),
+            ("EUR 1.500", 1500.0),
+            ("-EUR 12,50", -12.5),
+            ("12 dollars", 0.0),
             ("1.500", 1.5),
             ("1,234.50", 1234.5),
             ("-5", -5.0),

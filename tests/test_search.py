@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TESTDATA
 from plans import plan_of
@@ -55,7 +57,7 @@ def test_nearest(vectors, native):
         search.nearest(df, "vec_id", "v", [0.0] * 16, native=native)
 
 
-@pytest.mark.parametrize("blocks", [{}, {"query_block_bytes": 700, "corpus_block_bytes": 9000}])
+@pytest.mark.parametrize("blocks", [{}, {"query_block_bytes": 700}, {"query_block_bytes": 150}])
 def test_nearest_batch(spark, vectors, blocks):
     """The copies of one vector outnumber k and still tie by id, in one block or in many."""
     rows, df = vectors
@@ -73,7 +75,7 @@ def tokens(text):
     return [t for t in re.split(r"[\W_]+", text.lower()) if t]
 
 
-def test_tfidf_equals_brute_force(spark):
+def test_tfidf_equals_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     n = len(rows)
@@ -91,28 +93,52 @@ def test_tfidf_equals_brute_force(spark):
     q = unit(weights(query))
     want = {i: sum(v * q.get(t, 0.0) for t, v in unit(weights(x)).items()) for i, x in rows}
 
-    # Enough features that no two of the few thousand words collide.
-    model = encode.fit_tfidf(docs, "text", num_features=1 << 20)
-    got = encode.search_tfidf(model, docs, query, "doc_id", 20).collect()
-    assert got[0]["score"] == pytest.approx(1.0, abs=1e-6)
-    best = sorted(want.values(), reverse=True)[:20]
-    assert [r["score"] for r in got] == pytest.approx(best, abs=0.02)
-    assert all(abs(r["score"] - want[r["doc_id"]]) < 0.02 for r in got)
+    index = encode.index_terms(docs, "text", "doc_id", str(tmp_path))
+    for read in (index, encode.read_index(spark, str(tmp_path), "doc_id")):
+        got = encode.search_terms(read, docs, query, 20).orderBy("rank").collect()
+        best = sorted((-round(v, 9), i) for i, v in want.items())[:20]
+        assert [r["doc_id"] for r in got] == [i for _, i in best]
+        assert [r["score"] for r in got] == pytest.approx([-v for v, _ in best], abs=1e-8)
 
 
-def test_tfidf_edges(spark):
+def test_tfidf_edges(spark, tmp_path):
     docs = spark.createDataFrame(
-        [(1, "space robots fight"), (2, "quiet river town"), (3, None)], "id int, t string"
+        [(1, "space robots fight"), (2, "quiet river town"), (3, None), (4, "")], "id int, t string"
     )
-    model = encode.fit_tfidf(docs, "t")
-    hits = encode.search_tfidf(model, docs, "Robots!", "id", 5).collect()
-    assert hits[0]["id"] == 1 and hits[0]["score"] > 0 and hits[1]["score"] == 0
-    only = encode.search_tfidf(model, docs, "robots", "id", 5, F.col("id") == 2).collect()
+    index = encode.index_terms(docs, "t", "id", str(tmp_path / "a"))
+    hits = encode.search_terms(index, docs, "Robots!", 5).orderBy("rank").collect()
+    assert hits[0]["id"] == 1 and hits[0]["score"] > 0
+    assert [(r["id"], r["score"]) for r in hits[1:]] == [(2, 0.0), (4, 0.0)]
+    only = encode.search_terms(index, docs, "robots", 5, F.col("id") == 2).collect()
     assert [r["id"] for r in only] == [2]
     for blank in ("", "   ", None):
         with pytest.raises(ValueError):
-            encode.search_tfidf(model, docs, blank, "id")
-    assert encode.search_tfidf(model, docs, "?!", "id").count() == 0
+            encode.search_terms(index, docs, blank)
+    assert encode.search_terms(index, docs, "?!").count() == 0
+    unknown = encode.search_terms(index, docs, "zeppelin", 5).collect()
+    assert {r["score"] for r in unknown} == {0.0}
+    empty = encode.index_terms(docs.limit(0), "t", "id", str(tmp_path / "b"))
+    assert encode.search_terms(empty, docs.limit(0), "robots").count() == 0
+
+
+def test_batch_search_of_wide_vectors_is_quick():
+    """10,000 rows of 512 numbers against 512 queries: the bound leaves room for a slow box."""
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(10_000, 512))
+    ids = pa.array(np.arange(10_000))
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), 512).cast(
+        pa.list_(pa.float64())
+    )
+    unit = rows[:512] / np.linalg.norm(rows[:512], axis=1)[:, None]
+    schema = pa.schema([("q", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+    best = search._BestRows(ids[:512], unit, 10, schema)
+    start = time.perf_counter()
+    best.add(ids, vectors)
+    assert time.perf_counter() - start < 2.0
+    got = pa.Table.from_batches(best.batches())
+    assert got.num_rows == 5120
+    first = got["id"].to_numpy()[::10]
+    assert (first == np.arange(512)).all()
 
 
 def test_pluggable_encoder(spark):

@@ -10,6 +10,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gildmill.sources import document_sink, readers, writers
+from gildmill.sources.file_client import FileClient
+
+CLIENT = "gildmill.sources.file_client:connect"
 
 SCHEMA = readers.text_schema(["id", "title", "overview"])
 
@@ -54,11 +57,26 @@ def test_overwrite_is_idempotent_and_errors_propagate(spark, tmp_path):
         writers.write_table(df, "/proc/no/such/place")
 
 
-def test_scratch_folder_is_the_shared_one(spark):
-    root = spark.conf.get(writers.CHECKPOINT_SETTING)
-    first, second = (writers.scratch_path(spark, "x") for _ in range(2))
-    assert first.startswith(root) and first != second
+def test_scratch_folder_is_the_shared_one_and_can_be_removed(spark, tmp_path):
+    before = spark.conf.get(writers.CHECKPOINT_SETTING, None)
+    spark.conf.set(writers.CHECKPOINT_SETTING, str(tmp_path))
+    try:
+        first, second = (writers.scratch_path(spark, "x") for _ in range(2))
+        assert first.startswith(str(tmp_path)) and first != second
+        assert writers.materialize(spark.range(3)).count() == 3
+        assert any(tmp_path.iterdir())
+        assert writers.remove_scratch(spark)
+        assert not any(tmp_path.iterdir())
+    finally:
+        spark.conf.unset(writers.CHECKPOINT_SETTING)
+        if before:
+            spark.conf.set(writers.CHECKPOINT_SETTING, before)
+
+
+def test_scratch_writes_no_setting(spark):
+    before = spark.conf.get(writers.CHECKPOINT_SETTING, None)
     assert writers.materialize(spark.range(3)).count() == 3
+    assert spark.conf.get(writers.CHECKPOINT_SETTING, None) == before
 
 
 def test_spread_leaves_a_divided_scan_alone(spark):
@@ -68,18 +86,33 @@ def test_spread_leaves_a_divided_scan_alone(spark):
     assert readers.spread(few, "id").rdd.getNumPartitions() == 8
 
 
+def batches_of(folder):
+    current = Path(FileClient({"folder": str(folder)}).collection())
+    return [json.loads(p.read_text()) for p in current.iterdir()]
+
+
 def test_batch_sink_replaces_the_collection(spark, tmp_path):
-    folder = str(tmp_path)
     df = spark.range(0, 300, 1, 2).select(
         F.col("id").cast("string").alias("tmdb_id"), F.array(F.lit("a")).alias("names")
     )
-    spark.sparkContext.addPyFile(str(Path(__file__).parent / "file_client.py"))
-    for source in (df, df.where("id < 130")):
-        document_sink.send_documents(spark, source, "file_client:connect", folder=folder)
-        current = tmp_path / (tmp_path / "current").read_text()
-        batches = [json.loads(p.read_text()) for p in current.iterdir()]
-        assert max(map(len, batches)) <= document_sink.BATCH_SIZE
+    for source in (df, df.where("id < 130"), df.where("id < 0")):
+        loaded = document_sink.send_documents(spark, source, CLIENT, folder=str(tmp_path))
+        batches = batches_of(tmp_path)
+        assert max(map(len, batches), default=0) <= document_sink.BATCH_SIZE
         sent = sorted(d["tmdb_id"] for b in batches for d in b)
         assert sent == sorted(r["tmdb_id"] for r in source.collect())
-        assert (tmp_path / "done").read_text() == str(source.count())
-    assert batches[0][0]["names"] == ["a"]
+        assert loaded == source.count() == len(sent)
+        assert all(d["names"] == ["a"] for b in batches for d in b)
+
+
+def test_failed_load_leaves_the_collection(spark, tmp_path):
+    good = spark.range(0, 100, 1, 2).select(F.col("id").cast("string").alias("tmdb_id"))
+    document_sink.send_documents(spark, good, CLIENT, folder=str(tmp_path))
+    before = batches_of(tmp_path)
+    fails = F.when(F.col("tmdb_id") == "99", F.raise_error(F.lit("broken row")).cast("string"))
+    bad = good.select(F.coalesce(fails, "tmdb_id").alias("tmdb_id"))
+    with pytest.raises(Exception, match="broken row"):
+        document_sink.send_documents(spark, bad, CLIENT, folder=str(tmp_path))
+    assert sorted(map(str, batches_of(tmp_path))) == sorted(map(str, before))
+    # the failed load's own folder is gone
+    assert len([p for p in tmp_path.iterdir() if p.is_dir()]) == 1
