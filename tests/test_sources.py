@@ -57,20 +57,17 @@ def test_overwrite_is_idempotent_and_errors_propagate(spark, tmp_path):
         writers.write_table(df, "/proc/no/such/place")
 
 
-def test_scratch_folder_is_the_shared_one_and_can_be_removed(spark, tmp_path):
-    before = spark.conf.get(writers.CHECKPOINT_SETTING, None)
-    spark.conf.set(writers.CHECKPOINT_SETTING, str(tmp_path))
-    try:
-        first, second = (writers.scratch_path(spark, "x") for _ in range(2))
-        assert first.startswith(str(tmp_path)) and first != second
-        assert writers.materialize(spark.range(3)).count() == 3
-        assert any(tmp_path.iterdir())
-        assert writers.remove_scratch(spark)
-        assert not any(tmp_path.iterdir())
-    finally:
-        spark.conf.unset(writers.CHECKPOINT_SETTING)
-        if before:
-            spark.conf.set(writers.CHECKPOINT_SETTING, before)
+def test_scratch_tables_share_one_folder_and_can_be_removed(spark, tmp_path, monkeypatch):
+    root = spark.conf.get(writers.CHECKPOINT_SETTING, None) or ""
+    assert writers.scratch_folder(spark).startswith(root)
+    own = tmp_path / "own"
+    monkeypatch.setattr(writers, "scratch_folder", lambda _: str(own))
+    first, second = (writers.scratch_path(spark, "x") for _ in range(2))
+    assert first.startswith(str(own)) and first != second
+    assert writers.materialize(spark.range(3)).count() == 3
+    assert any(own.iterdir())
+    assert writers.remove_scratch(spark)
+    assert not own.exists()
 
 
 def test_scratch_writes_no_setting(spark):
