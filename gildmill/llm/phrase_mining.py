@@ -122,8 +122,8 @@ class ShardScan:
                 yield self._phrases(k, int(begun), lang, names, word, at[on[start[on] == begun]])
             if k < self.lengths:
                 phrase = _longer(phrase[first], hashes[word[at + k - 1]])
-                known = self.reached[k - 1][_slot(phrase, self.slots)]
-                since = np.where(both == NEVER, np.uint8(NEVER), known)
+                # Another phrase may have marked the slot before this one could be counted.
+                since = np.maximum(self.reached[k - 1][_slot(phrase, self.slots)], both)
 
     def _phrases(self, k: int, start: int, lang: str, names: pa.Array, word: np.ndarray, at: np.ndarray):
         """Equal phrases once, with their number. Numbers of shorter ones are dense before the next word joins."""
@@ -240,7 +240,8 @@ def frequent_phrases(
                 if step == start + shards - 1:
                     complete[k].append(found)
                 if _mark(tables[k], found, k, step):
-                    starts[k + 1].add(step + 1)
+                    for longer in range(k + 1, lengths + 1):
+                        starts[longer].add(step + 1)
         step += 1
     for start in starts[lengths]:
         complete[lengths].append(materialize(_reached(_cycle(spark, tally, lengths, start), least, True), "frequent"))
