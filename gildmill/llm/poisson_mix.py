@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from gildmill.llm.common import hash52, materialize, reduce_tasks, uniform
 
 SEED = 20
+COPIES_AT_ONCE = 4096
 _EXACT = 20  # below it ln k! comes from a table, above it from Stirling's series
 
 
@@ -75,6 +76,28 @@ def source_rates(
     )
 
 
+def exploded(df: DataFrame, count: str, number: str, step: int = COPIES_AT_ONCE) -> DataFrame:
+    """Each row ``count`` times, with its ``number`` from 1.
+
+    Three explodes in turn, over blocks of blocks, blocks and numbers: no array has more than
+    ``step`` entries up to step ** 3 copies of one row.
+    """
+    n = F.col(count).cast("long")
+
+    def upto(last: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), last))
+
+    def in_block(block: str, size: int) -> Column:
+        rest = F.call_function("div", n - 1 - F.col(block) * F.lit(size * step), F.lit(size))
+        return upto(F.least(F.lit(step - 1).cast("long"), rest))
+
+    far = df.withColumn("__b2", upto(F.call_function("div", n - 1, F.lit(step * step))))
+    near = far.withColumn("__r1", in_block("__b2", step)).withColumn("__b1", F.col("__b2") * F.lit(step) + F.col("__r1"))
+    each = near.withColumn("__r0", in_block("__b1", 1))
+    numbered = each.withColumn(number, F.col("__b1") * F.lit(step) + F.col("__r0") + 1)
+    return numbered.drop("__b2", "__r1", "__b1", "__r0")
+
+
 def poisson_mix(
     docs: DataFrame,
     weights: dict | None = None,
@@ -90,7 +113,8 @@ def poisson_mix(
     ``mix_key``; input columns of these names are replaced. Rows are dealt to partitions by
     ``mix_key``, a hash, and sorted by it within them: each partition is a random sample in
     random order. Repeated rows with one id are drawn alike; a null id counts as an empty one;
-    null and empty texts are mixed like others. An empty table stays empty.
+    null and empty texts are mixed like others. An empty table stays empty. However large a rate
+    is, a row's copies are made a few thousand at a time.
 
     The rates are a small written table, so that the planner broadcasts it if its files are
     below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, where
@@ -100,20 +124,23 @@ def poisson_mix(
     added = ("copies", "copy", "mix_rate", "mix_key")
     kept = [c for c in docs.columns if c not in added]
     rates = materialize(source_rates(docs, weights, default_weight, source, text), "rates").select(
-        F.col("source").alias("__source"), F.col("rate").alias("mix_rate"), "first", "cdf"
+        F.col("source").alias("__source"),
+        F.col("rate").alias("mix_rate"),
+        F.col("first").alias("__first"),
+        F.col("cdf").alias("__cdf"),
     )
     drawn = (
         docs.select(*kept, uniform(F.lit(seed), F.col(doc_id)).alias("__u"))
         .join(rates, F.col(source).eqNullSafe(F.col("__source")))
         .withColumn(
             "copies",
-            F.col("first") + F.expr("size(filter(cdf, c -> c <= __u))").cast("long"),
+            F.col("__first") + F.expr("size(filter(__cdf, c -> c <= __u))").cast("long"),
         )
         .filter(F.col("copies") >= 1)
-        .select(
-            *kept, "copies", "mix_rate", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
-        )
-        .withColumn("mix_key", hash52(F.lit(seed), F.col(doc_id), F.col("copy")))
+        .drop("__first", "__cdf", "__u", "__source")
+    )
+    drawn = exploded(drawn, "copies", "copy").select(
+        *kept, "copies", "mix_rate", "copy", hash52(F.lit(seed), F.col(doc_id), F.col("copy")).alias("mix_key")
     )
     return drawn.repartition(reduce_tasks(docs.sparkSession), "mix_key").sortWithinPartitions(
         "mix_key"
