@@ -32,6 +32,7 @@ LEAST_REVISIT = 1000  # bytes; shorter payloads are always written whole
 BLOCK = 256  # captures between two entries of a run's sparse index
 BUFFER = 1 << 15
 EPOCH = 1_704_067_200  # capture time of page 0 where the pages carry none
+CAPTURE_SECONDS = 190_000_000_000
 
 CAPTURE = (
     "url_key string, captured string, page_id long, payload_bytes long, payload_digest string, "
@@ -58,6 +59,15 @@ def url_key(url: str) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), path)
 
 
+def capture_time(page_id) -> Column:
+    """14 digits for any id: seconds since ``EPOCH``, ids beyond some 6,000 years taken modulo that.
+
+    ``pages`` has no time of capture, so the id stands in for it; a null id is the first.
+    """
+    seconds = F.pmod(F.coalesce(page_id.cast("long"), F.lit(0)), F.lit(CAPTURE_SECONDS)) + F.lit(EPOCH)
+    return F.date_format(F.timestamp_seconds(seconds), "yyyyMMddHHmmss")
+
+
 def mark_revisits(pages: DataFrame, page_id="page_id", url="url", html="html") -> DataFrame:
     """One row per page with its payload, digest, and what kind of record it becomes.
 
@@ -71,9 +81,7 @@ def mark_revisits(pages: DataFrame, page_id="page_id", url="url", html="html") -
         F.col(page_id).cast("long").alias("page_id"),
         whole_text(url).alias("url"),
         url_key(url).alias("url_key"),
-        F.date_format(
-            F.timestamp_seconds(F.coalesce(F.col(page_id), F.lit(0)) + EPOCH), "yyyyMMddHHmmss"
-        ).alias("captured"),
+        capture_time(F.col(page_id)).alias("captured"),
         payload.alias("payload"),
         F.sha1(payload.cast("binary")).alias("digest"),
         F.octet_length(payload).cast("long").alias("size"),
