@@ -11,6 +11,7 @@ sees more than its own rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -33,6 +34,8 @@ VOCABULARY = "word_bpe_49k.json"
 
 # ---------------------------------------------------------------- token ids
 
+# Fixed value: how the default vocabulary's tokenizer cuts words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
@@ -105,18 +108,50 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_encoders: dict[str, WordIds] = {}
+class TextIds:
+    """Ids of whole texts, as little-endian bytes, from a tokenizer of any kind."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def text(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def cuts_words_alike(path: str) -> bool:
+    """Does the file's tokenizer normalise and cut texts as ``WordIds`` does?
+
+    That is: compose, collapse white space and lower-case; cut by the pattern above and drop white
+    space; merge byte-level letters with a mark at the end of words.
+    """
+    with open(path, encoding="utf-8") as f:
+        kind = json.load(f)
+    normal = [n.get("type") for n in (kind.get("normalizer") or {}).get("normalizers", [])]
+    steps = (kind.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    model = kind.get("model", {})
+    return (
+        normal == ["NFC", "Replace", "Lowercase"]
+        and [p.get("type") for p in steps] == ["Split", "ByteLevel"]
+        and steps[0].get("pattern") == {"Regex": SPLIT}
+        and model.get("type", "BPE") == "BPE"
+        and model.get("end_of_word_suffix") == "</w>"
+    )
+
+
+_encoders: dict[str, WordIds | TextIds] = {}
 
 
-def encoder(path: str | None = None) -> WordIds:
-    """One per worker process and vocabulary file."""
+def encoder(path: str | None = None) -> WordIds | TextIds:
+    """One per worker process and vocabulary file; words are cut here only where that is proved."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
     if path not in _encoders:
-        _encoders[path] = WordIds(path)
+        _encoders[path] = WordIds(path) if cuts_words_alike(path) else TextIds(path)
     return _encoders[path]
 
 
@@ -281,9 +316,11 @@ def _salted_ranks(pieces: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """Adds ``rank``, gapless within each bin, and returns the bins' counts.
 
     Bins are split by a hash of the piece, so one very common length is ranked by many tasks.
-    The counts by bin and part have a bounded number of rows and are broadcast.
+    The counts by bin and part have a bounded number of rows and are broadcast. Pieces that agree in
+    id and start are ordered by what else tells them apart, so a task that runs again ranks alike.
     """
-    salted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)))
+    told = [c for c in ("doc_id", "start", "ids_crc32", "doc_tokens") if c in pieces.columns]
+    salted = pieces.withColumn("part", F.pmod(F.xxhash64(*told), F.lit(SALTS)))
     counts = salted.groupBy("bin", "part").agg(F.count("*").alias("n")).collect()
     totals: dict[int, int] = {}
     offsets = []
@@ -292,7 +329,7 @@ def _salted_ranks(pieces: DataFrame) -> tuple[DataFrame, dict[int, int]]:
         totals[r["bin"]] = totals.get(r["bin"], 0) + r["n"]
     spark = pieces.sparkSession
     first = spark.createDataFrame(offsets, "bin long, part long, before long")
-    order = Window.partitionBy("bin", "part").orderBy("doc_id", "start")
+    order = Window.partitionBy("bin", "part").orderBy(*told)
     ranked = salted.join(F.broadcast(first), ["bin", "part"]).withColumn(
         "rank", F.col("before") + F.row_number().over(order) - 1
     )
