@@ -112,8 +112,8 @@ def op9_slot_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     first, grown = slot_shards.plan_shards(docs, scratch_path(spark, "slot-map"), 8)
     stored = slot_shards.write_shards(docs, first, scratch_path(spark, "shards"))
-    moved = grown.select("vslot", F.col("shard").alias("rebalanced_shard"))
-    return stored.join(F.broadcast(moved), "vslot").select(
+    moved = grown.select("vslot", "sub", F.col("shard").alias("rebalanced_shard"))
+    return stored.join(F.broadcast(moved), ["vslot", "sub"]).select(
         "doc_id",
         slot_shards.size_of("text").alias("size"),
         F.crc32(whole_text("text").cast("binary")).alias("text_crc32"),
