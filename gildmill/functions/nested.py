@@ -12,7 +12,7 @@ from __future__ import annotations
 import ast
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +152,32 @@ def parse_list_text(c: Column, fields: list[str], exact: bool = False) -> Column
     return F.coalesce(parsed, F.array().cast(lists))
 
 
+def parse_list_variant(c: Column) -> Column:
+    """List text of any shape to ``array<variant>``; never null.
+
+    No field is named until the list is asked for one, so lists whose objects differ, or hold
+    objects themselves, need no schema. Text that is no list gives an empty one.
+    """
+    read = f"j -> from_json(j, 'array<variant>', {_JSON_OPTIONS})"
+    return F.coalesce(stepwise(validate_list_text(c), *_TO_JSON, read), F.array().cast("array<variant>"))
+
+
+def variant_values(items: Column, path: str, kind: str = "string") -> Column:
+    """What each element holds at a path such as ``$.name`` or ``$.roles[0].id``; null where nothing fits."""
+    return F.transform(items, lambda x: F.try_variant_get(x, path, kind))
+
+
+def variant_names(items: Column, field: str = "name") -> Column:
+    """The non-empty values of one field, in list order, as ``names_of`` of a typed list."""
+    return F.coalesce(F.filter(variant_values(items, f"$.{field}"), lambda n: n != ""), F.array().cast("array<string>"))
+
+
+def list_shape(df: DataFrame, items: str) -> str:
+    """The merged type of all elements of a column of variant lists; ``VOID`` without any."""
+    elements = df.select(F.explode(items).alias("x"))
+    return elements.agg(F.schema_of_variant_agg("x")).first()[0] or "VOID"
+
+
 def names_of(items: Column, field: str = "name") -> Column:
     """The non-empty values of one field, in list order."""
     names = f"a -> coalesce(filter(transform(a, x -> x.`{field}`), n -> n <> ''), array())"

@@ -1,27 +1,16 @@
-"""Text search: a pluggable dense encoder and a built-in exact TF-IDF index."""
+"""A pluggable encoder from texts to dense vectors."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gildmill.operators.search import DEFAULT_LIMIT, SCORE_DIGITS, top_k
-from gildmill.sources.writers import write_and_read, write_table
-
 VECTOR_COLUMN = "text_vector"
-WORD_BREAK = r"[^\p{L}\p{M}\p{N}]+"
-
-
-def checked_query(query: str) -> str:
-    if query is None or not query.strip():
-        raise ValueError("a search query needs some text")
-    return query
 
 
 def encode(
@@ -46,106 +35,3 @@ def encode(
             yield pa.array(vectors, pa.list_(pa.float32()))
 
     return df.withColumn(vector_col, run(F.col(text_col)))
-
-
-def terms_of(c: Column) -> Column:
-    """All words of a text in lower case, in order; null for a null text."""
-    return F.filter(F.split(F.lower(c), WORD_BREAK), lambda t: t != "")
-
-
-@dataclass(frozen=True)
-class TermIndex:
-    """A written TF-IDF index: the tables of one folder.
-
-    ``postings`` holds (term, id, tf), ``terms`` (term, idf), ``norms`` one row per
-    document with a text, and ``size`` their number.
-    """
-
-    id_col: str
-    postings: DataFrame
-    terms: DataFrame
-    norms: DataFrame
-    size: DataFrame
-
-
-def index_terms(df: DataFrame, text_col: str, id_col: str, path: str) -> TermIndex:
-    """Count the terms of every text by name and write the index.
-
-    Ids must be unique; null texts are left out. Counts are combined in each map task
-    before they are shuffled. Postings are divided by ranges of (term, id), so a word
-    that most documents hold spreads over many files and a search finds its terms by
-    the files' statistics.
-    """
-    path = path.rstrip("/")
-    texts = df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    texts = texts.select(F.col(id_col).alias("id"), terms_of(F.col(text_col)).alias("words"))
-    counts = texts.select("id", F.explode("words").alias("term")).groupBy("id", "term")
-    counts = counts.agg(F.count(F.lit(1)).alias("tf"))
-    sizes = write_and_read(texts.agg(F.count(F.lit(1)).alias("n")), f"{path}/size")
-    write_table(counts, f"{path}/counts")
-    counts = df.sparkSession.read.parquet(f"{path}/counts")
-    in_order = counts.select("term", "id", "tf").repartitionByRange("term", "id")
-    postings = write_and_read(in_order.sortWithinPartitions("term", "id"), f"{path}/postings")
-
-    # One row by plan: the count of all texts.
-    n = sizes.first()["n"]
-    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0))
-    terms = write_and_read(frequency.select("term", idf.alias("idf")), f"{path}/terms")
-    weight = F.col("tf") * F.col("idf")
-    squares = postings.join(terms, "term").groupBy("id").agg(F.sum(weight * weight).alias("s"))
-    every = texts.select("id").join(squares, "id", "left")
-    norms = every.select("id", F.sqrt(F.coalesce("s", F.lit(0.0))).alias("norm"))
-    return TermIndex(id_col, postings, terms, write_and_read(norms, f"{path}/norms"), sizes)
-
-
-def read_index(spark: SparkSession, path: str, id_col: str) -> TermIndex:
-    """The index that ``index_terms`` wrote."""
-    tables = [
-        spark.read.parquet(f"{path.rstrip('/')}/{t}") for t in ("postings", "terms", "norms", "size")
-    ]
-    return TermIndex(id_col, *tables)
-
-
-def _query_weights(index: TermIndex, query: str) -> tuple[DataFrame, DataFrame]:
-    """(term, weight) of a query's known words, and its norm, in which unknown words count."""
-    spark = index.terms.sparkSession
-    text = spark.createDataFrame([(checked_query(query),)], "q string")
-    tf = text.select(F.explode(terms_of(F.col("q"))).alias("term")).groupBy("term")
-    tf = tf.agg(F.count(F.lit(1)).alias("qtf"))
-    unseen = F.log(F.lit(index.size.first()["n"]) + 1.0)
-    known = tf.join(index.terms, "term", "left")
-    weighed = known.select("term", "idf", (F.col("qtf") * F.coalesce("idf", unseen)).alias("w"))
-    norm = weighed.agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("q_norm"))
-    found = weighed.where(F.col("idf").isNotNull())
-    return found.select("term", (F.col("idf") * F.col("w")).alias("w")), norm
-
-
-def search_terms(
-    index: TermIndex,
-    df: DataFrame,
-    query: str,
-    k: int = DEFAULT_LIMIT,
-    where: Column | None = None,
-) -> DataFrame:
-    """The ``k`` rows of ``df`` whose indexed texts are most like ``query``.
-
-    Cosine of TF-IDF vectors, exact: the query's terms meet their postings in one
-    join, products are summed per document, and only the best ``k`` ids fetch their
-    rows. Documents without a common word score 0; a query without any word, or only
-    of words that every document holds, finds nothing.
-    """
-    id_col = index.id_col
-    weights, q_norm = _query_weights(index, query)
-    length = q_norm.first()["q_norm"]
-    none = df.limit(0).withColumns({"score": F.lit(0.0), "rank": F.lit(1)})
-    if not length:
-        return none
-    dots = index.postings.join(weights, "term").groupBy("id")
-    dots = dots.agg(F.sum(F.col("tf") * F.col("w")).alias("dot"))
-    ids = (df if where is None else df.where(where)).select(F.col(id_col).alias("id"))
-    scored = ids.join(index.norms, "id").join(dots, "id", "left")
-    cosine = F.coalesce(F.col("dot"), F.lit(0.0)) / (F.col("norm") * length)
-    score = F.round(F.when(F.col("norm") > 0, cosine).otherwise(0.0), SCORE_DIGITS)
-    best = top_k(scored.select(F.col("id").alias(id_col), score.alias("score")), "score", [id_col], k)
-    return df.join(F.broadcast(best), id_col)  # k rows at most

@@ -11,13 +11,8 @@ from pyspark.sql import functions as F
 from gildmill.functions import parsing
 from gildmill.functions.text import null_to_empty
 from gildmill.operators import filters, metrics, search
-from gildmill.operators.encode import (
-    TermIndex,
-    checked_query,
-    encode,
-    index_terms,
-    search_terms,
-)
+from gildmill.operators.encode import encode
+from gildmill.operators.term_index import TermIndex, checked_query, index_terms, search_terms
 from gildmill.plans import schemas as S
 from gildmill.sources.document_sink import send_documents
 from gildmill.sources.readers import read_parquet
@@ -68,8 +63,8 @@ def gold_to_documents(
 ) -> DataFrame:
     """Replace the document collection with the gold table's rows.
 
-    With ``target`` the documents are written as JSON and the result compares them
-    with their source by key; with ``client`` the tasks send them in batches and the
+    With ``target`` the documents are written as JSON and the result compares what is stored
+    with its source, whole documents by checksums of key ranges; with ``client`` the tasks send them in batches and the
     result compares the rows that were read with the documents that the client counts.
     ``load_encoder`` adds a vector of the combined text to each document; ``index``
     names a folder for the term index of these texts.
@@ -90,8 +85,9 @@ def gold_to_documents(
         report = [(read.get["rows"], loaded)]
         return spark.createDataFrame(report, "source_rows bigint, sink_rows bigint")
     write_documents(documents, target)
-    written = spark.read.schema("tmdb_id string").json(target)
-    return metrics.reconcile(documents, written, "tmdb_id")
+    plain = documents.drop(VECTOR)
+    written = spark.read.schema(plain.schema).json(target)
+    return metrics.reconcile_ranges(plain, written, "tmdb_id").summary
 
 
 def search_gold(

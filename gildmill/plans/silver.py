@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildmill.functions import nested, parsing, text
 from gildmill.operators import dedup, filters, joins
 from gildmill.operators.columns import rewrite_present
+from gildmill.operators.metrics import RowCounts, uncounted
 from gildmill.plans import schemas as S
 from gildmill.sources.readers import read_optional_csv
 from gildmill.sources.writers import write_and_read
@@ -37,22 +39,19 @@ def _list_text(c, policy: CleaningPolicy):
     return nested.repair_list_text(c) if policy.repair_lists else nested.validate_list_text(c)
 
 
-def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Typed, repaired movies: one row per id and per title and date.
-
-    Equal rows need no step of their own: both reductions below order by all
-    columns, so equal rows share their group and one of them is kept. Of several
-    rows for one id the fullest is kept, and only then near duplicates leave: a row
-    that goes for its title never takes along the last row of another.
-    """
+def repaired_movies(
+    df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY, count=uncounted
+) -> DataFrame:
+    """Typed, repaired movies, row by row."""
     df = df.withColumn("id", parsing.normalize_id(F.col("id")))
-    df = filters.require_columns(df, ["id", "title"])
+    df = count(filters.require_columns(df, ["id", "title"]), "missing_key")
     df = df.withColumn("release_date", parsing.parse_date(F.col("release_date")))
     df = df.where(filters.years_or_null(F.col("release_date"), S.FIRST_YEAR, S.LAST_YEAR))
+    df = count(df, "bad_date")
     df = rewrite_present(
         df, MOVIE_TEXT, lambda c: text.clean_text(c, policy.repair_mojibake, policy.strip_non_ascii)
     )
-    df = df.where(filters.non_blank(["title"]))
+    df = count(df.where(filters.non_blank(["title"])), "blank_title")
     df = rewrite_present(
         df, MOVIE_AMOUNTS, lambda c: parsing.parse_currency_intl(c, default=0.0, minimum=0.0)
     )
@@ -63,8 +62,16 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
             parsing.positive_or_null(c), 0.0, policy.longest_runtime
         ).cast("float"),
     )
-    df = rewrite_present(df, ["genres"], lambda c: _list_text(c, policy))
-    df = dedup.first_per_key(df, ["id"], dedup.fullest_first(df))
+    return rewrite_present(df, ["genres"], lambda c: _list_text(c, policy))
+
+
+def one_movie_per_id(df: DataFrame) -> DataFrame:
+    """Of several rows for one id the fullest, then the least by all columns."""
+    return dedup.first_per_key(df, ["id"], dedup.fullest_first(df))
+
+
+def one_movie_per_title(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> DataFrame:
+    """One row per folded title and date, from one row per id."""
     return dedup.near_duplicates_removed(
         df,
         "title",
@@ -75,23 +82,48 @@ def clean_movies(df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY) -> Data
     )
 
 
-def clean_child(
-    df: DataFrame, key: str, lists: list[str], policy: CleaningPolicy = DEFAULT_POLICY
+def clean_movies(
+    df: DataFrame, policy: CleaningPolicy = DEFAULT_POLICY, count=uncounted
 ) -> DataFrame:
-    """Credits or keywords: text key, valid list text, one row per key.
+    """Typed, repaired movies: one row per id and per title and date.
 
-    Of several rows for a key the one with the longest list text is kept, so an
-    emptied copy does not displace a filled one.
+    Equal rows need no step of their own: both reductions order by all columns, so
+    equal rows share their group and one of them is kept. Of several rows for one id
+    the fullest is kept, and only then near duplicates leave: a row that goes for its
+    title never takes along the last row of another. ``count`` sees the rows that each
+    rule leaves.
     """
+    df = count(one_movie_per_id(repaired_movies(df, policy, count)), "same_id")
+    return count(one_movie_per_title(df, policy), "near_duplicate")
+
+
+def repaired_child(
+    df: DataFrame, key: str, lists: list[str], policy: CleaningPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Credits or keywords, row by row: text key, valid list text."""
     df = df.withColumn(key, parsing.normalize_id(F.col(key)))
     df = filters.require_columns(df, [key])
-    df = rewrite_present(df, lists, lambda c: _list_text(c, policy))
+    return rewrite_present(df, lists, lambda c: _list_text(c, policy))
+
+
+def one_child_per_key(df: DataFrame, key: str, lists: list[str]) -> DataFrame:
+    """Of several rows for a key the one with the longest list text.
+
+    So an emptied copy does not displace a filled one.
+    """
     filled = [F.length(c).desc() for c in lists]
     return dedup.first_per_key(df, [key], [*filled, *dedup.total_order(df)])
 
 
+def clean_child(
+    df: DataFrame, key: str, lists: list[str], policy: CleaningPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Credits or keywords: text key, valid list text, one row per key."""
+    return one_child_per_key(repaired_child(df, key, lists, policy), key, lists)
+
+
 def clean_facts(
-    df: DataFrame, keys: list[str], value: str, low: float, high: float
+    df: DataFrame, keys: list[str], value: str, low: float, high: float, count=uncounted
 ) -> DataFrame:
     """Ratings: text keys, a value in the closed range, equal rows once.
 
@@ -102,7 +134,8 @@ def clean_facts(
     number = parsing.parse_number(F.col(value)).cast("float")
     cleaned = {k: parsing.normalize_id(F.col(k)) for k in keys}
     df = df.withColumns({**cleaned, value: parsing.plausible(number, low, high)})
-    return dedup.distinct_rows(filters.require_columns(df, [*keys, value]))
+    df = count(filters.require_columns(df, [*keys, value]), "missing_or_out_of_range")
+    return count(dedup.distinct_rows(df), "duplicate")
 
 
 def clean_links(df: DataFrame) -> DataFrame:
@@ -110,8 +143,8 @@ def clean_links(df: DataFrame) -> DataFrame:
     return filters.require_columns(df, ["movieId", "tmdbId"])
 
 
-def clean_ratings(df: DataFrame) -> DataFrame:
-    return clean_facts(df, ["userId", "movieId"], "rating", S.LOW_RATING, S.HIGH_RATING)
+def clean_ratings(df: DataFrame, count=uncounted) -> DataFrame:
+    return clean_facts(df, ["userId", "movieId"], "rating", S.LOW_RATING, S.HIGH_RATING, count)
 
 
 def linked_ratings(ratings: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -122,17 +155,15 @@ def linked_ratings(ratings: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 class SilverTables(dict[str, DataFrame]):
-    """The written tables by name; ``counts`` has (rows read, rows written) of each."""
+    """The written tables by name.
+
+    ``counts`` has (rows read, rows written) of each, ``dropped`` the rows that each rule removed.
+    """
 
     def __init__(self) -> None:
         super().__init__()
         self.counts: dict[str, tuple[int, int]] = {}
-
-
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` with its rows counted as they pass."""
-    rows = Observation()
-    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+        self.dropped: dict[str, dict[str, int]] = {}
 
 
 def _undivided(df: DataFrame) -> DataFrame:
@@ -141,13 +172,18 @@ def _undivided(df: DataFrame) -> DataFrame:
 
 
 def bronze_to_silver(
-    spark: SparkSession, bronze: str, silver: str, policy: CleaningPolicy = DEFAULT_POLICY
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    policy: CleaningPolicy = DEFAULT_POLICY,
+    write: Callable[[DataFrame, str], DataFrame] = write_and_read,
 ) -> SilverTables:
     """Read whichever input files exist, write one table each, return them with row counts.
 
     Movies are written first and read back, so orphan removal sees exactly the
     movies that were kept and the cleaning runs once. Rows are counted while the
-    tables are written: no input is read twice for it.
+    tables are written, before the first and after each rule: no input is read twice for it.
+    ``write`` puts a table in its folder and gives it back from there.
     """
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     movies = read_optional_csv(spark, f"{bronze}/{S.MOVIES_FILE}", S.BRONZE_MOVIES, True, ["id", "title"])
@@ -159,27 +195,31 @@ def bronze_to_silver(
     out = SilverTables()
 
     def store(name: str, raw: DataFrame, clean, table: str) -> None:
-        raw, rows_in = _counted(raw)
-        cleaned, rows_out = _counted(clean(raw))
-        out[name] = write_and_read(cleaned, f"{silver}/{table}")
-        out.counts[name] = (rows_in.get["rows"], rows_out.get["rows"])
+        count = RowCounts()
+        out[name] = write(clean(count(raw, "read"), count), f"{silver}/{table}")
+        passed = count.passed()
+        out.counts[name], out.dropped[name] = (passed[0], passed[-1]), count.dropped()
 
     def child_cleaner(lists: list[str]):
-        def clean(raw: DataFrame) -> DataFrame:
+        def clean(raw: DataFrame, count: RowCounts) -> DataFrame:
             child = raw.withColumn("id", parsing.normalize_id(F.col("id")))
+            child = count(filters.require_columns(child, ["id"]), "missing_key")
             if "movies" in out:
                 # Orphans leave before the dedup shuffle; neither step affects the other.
-                child = joins.drop_orphans(child, out["movies"], "id")
-            return clean_child(_undivided(child), "id", lists, policy)
+                child = count(joins.drop_orphans(child, out["movies"], "id"), "orphan")
+            return count(clean_child(_undivided(child), "id", lists, policy), "same_id")
 
         return clean
 
+    def rating_cleaner(raw: DataFrame, count: RowCounts) -> DataFrame:
+        return count(linked_ratings(clean_ratings(raw, count), links), "unmapped")
+
     if movies is not None:
-        store("movies", movies, lambda raw: clean_movies(_undivided(raw), policy), S.MOVIES_TABLE)
+        store("movies", movies, lambda raw, count: clean_movies(_undivided(raw), policy, count), S.MOVIES_TABLE)
     if credits is not None:
         store("credits", credits, child_cleaner(["cast", "crew"]), S.CREDITS_TABLE)
     if keywords is not None:
         store("keywords", keywords, child_cleaner(["keywords"]), S.KEYWORDS_TABLE)
     if ratings is not None:
-        store("ratings", ratings, lambda raw: linked_ratings(clean_ratings(raw), links), S.RATINGS_TABLE)
+        store("ratings", ratings, rating_cleaner, S.RATINGS_TABLE)
     return out

@@ -294,6 +294,14 @@ def extract_names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"SELECT conv_id, turn, array_to_string({_SQL_NAMES}, '|') AS names FROM conversations")
+def variant_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The names of lists whose shape is not declared."""
+    lists = _conversation_lists(spark, folder)
+    names = nested.variant_names(nested.parse_list_variant(F.col("list_text")))
+    return lists.select("conv_id", "turn", F.array_join(names, "|").alias("names"))
+
+
 @query(f"""
 SELECT conv_id, turn,
   array_to_string(list_filter(list_slice({sql_words('text')}, 1, 5), lambda w: w <> ''), '|') AS names

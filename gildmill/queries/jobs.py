@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gildmill.functions import nested
 from gildmill.operators import search
-from gildmill.plans import documents, gold, schemas, silver
+from gildmill.plans import bucketed, documents, gold, incremental, schemas, silver
 from gildmill.queries.cleaning import crew_text
 from gildmill.queries.registry import (
     ORACLES,
@@ -159,22 +159,28 @@ def clean_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_MOVIES = "movies_metadata.csv"
+_BRONZE = [
+    (_MOVIES, messy_movies, schemas.BRONZE_MOVIES),
+    (schemas.CREDITS_FILE, messy_credits, schemas.BRONZE_CREDITS),
+    (schemas.KEYWORDS_FILE, messy_keywords, schemas.BRONZE_KEYWORDS),
+    (schemas.RATINGS_FILE, messy_ratings, schemas.BRONZE_RATINGS),
+    (schemas.LINKS_FILE, messy_links, schemas.BRONZE_LINKS),
+]
+
+
+def _bronze_columns(df: DataFrame, schema) -> DataFrame:
+    """All columns of a schema, in an order unlike it."""
+    absent = {c: F.lit(None).cast("string") for c in schema.names if c not in df.columns}
+    return df.withColumns(absent).select(*sorted(schema.names)[::-1])
+
+
 def write_bronze(spark: SparkSession, folder: str, *only: str) -> str:
     """The messy tables as CSV files in a new folder, columns unlike any schema's order."""
     bronze = scratch_path(spark, "bronze")
-    tables = {
-        "movies_metadata.csv": (messy_movies, schemas.BRONZE_MOVIES),
-        schemas.CREDITS_FILE: (messy_credits, schemas.BRONZE_CREDITS),
-        schemas.KEYWORDS_FILE: (messy_keywords, schemas.BRONZE_KEYWORDS),
-        schemas.RATINGS_FILE: (messy_ratings, schemas.BRONZE_RATINGS),
-        schemas.LINKS_FILE: (messy_links, schemas.BRONZE_LINKS),
-    }
-    for name, (make, schema) in tables.items():
-        if only and name not in only:
-            continue
-        df = make(spark, folder)
-        absent = {c: F.lit(None).cast("string") for c in schema.names if c not in df.columns}
-        write_csv(df.withColumns(absent).select(*sorted(schema.names)[::-1]), f"{bronze}/{name}")
+    for name, make, schema in _BRONZE:
+        if not only or name in only:
+            write_csv(_bronze_columns(make(spark, folder), schema), f"{bronze}/{name}")
     return bronze
 
 
@@ -191,7 +197,13 @@ UNION ALL
 SELECT 'ratings', id, user_id, CAST(day AS VARCHAR), round(rating, 4) FROM ratings
 """)
 def silver_tables(spark: SparkSession, folder: str) -> DataFrame:
-    out = silver.bronze_to_silver(spark, write_bronze(spark, folder), scratch_path(spark, "silver"))
+    return _silver_rows(
+        silver.bronze_to_silver(spark, write_bronze(spark, folder), scratch_path(spark, "silver"))
+    )
+
+
+def _silver_rows(out: dict[str, DataFrame]) -> DataFrame:
+    """The tables as one, for comparison."""
 
     def rows(name: str, a, b, n) -> DataFrame:
         return out[name].select(
@@ -226,6 +238,50 @@ def silver_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "tab string, rows_in bigint, rows_out bigint")
 
 
+@query(f"""
+WITH {_SQL_MOVIES}, turns AS (SELECT CAST(conv_id AS VARCHAR) AS id FROM conversations),
+items AS (SELECT CAST(item_id AS VARCHAR) AS id FROM benchmark),
+lines AS (SELECT l_suppkey, l_partkey, l_quantity, CAST(l_shipdate AS DATE) AS day FROM lineitem
+          WHERE l_quantity / 10 BETWEEN 0.5 AND 5.0),
+facts AS (SELECT DISTINCT * FROM lines),
+known AS (SELECT id FROM movies),
+drops AS (
+  SELECT 'movies' AS tab, 'missing_key' AS reason, count(*) FILTER (doc_id IS NULL) AS n_rows FROM documents
+  UNION ALL
+  SELECT 'movies', 'bad_date', count(*) FILTER (year(release_date) NOT BETWEEN 1900 AND 2030) FROM m0
+  UNION ALL
+  SELECT 'movies', 'blank_title', 0
+  UNION ALL
+  SELECT 'movies', 'same_id', count(*) - count(DISTINCT id) FROM m1
+  UNION ALL
+  SELECT 'movies', 'near_duplicate', count(*) FILTER (rn > 1) FROM m1
+  UNION ALL
+  SELECT 'credits', 'missing_key', count(*) FILTER (id IS NULL) FROM turns
+  UNION ALL
+  SELECT 'credits', 'orphan', count(*) FILTER (id NOT IN (SELECT id FROM known)) FROM turns
+  UNION ALL
+  SELECT 'credits', 'same_id', count(*) - count(DISTINCT id) FROM turns WHERE id IN (SELECT id FROM known)
+  UNION ALL
+  SELECT 'keywords', 'missing_key', count(*) FILTER (id IS NULL) FROM items
+  UNION ALL
+  SELECT 'keywords', 'orphan', count(*) FILTER (id NOT IN (SELECT id FROM known)) FROM items
+  UNION ALL
+  SELECT 'keywords', 'same_id', count(*) - count(DISTINCT id) FROM items WHERE id IN (SELECT id FROM known)
+  UNION ALL
+  SELECT 'ratings', 'missing_or_out_of_range', (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM lines)
+  UNION ALL
+  SELECT 'ratings', 'duplicate', (SELECT count(*) FROM lines) - (SELECT count(*) FROM facts)
+  UNION ALL
+  SELECT 'ratings', 'unmapped', count(*) FILTER (l_partkey NOT IN (SELECT p_partkey FROM part)) FROM facts)
+SELECT tab, reason, CAST(n_rows AS BIGINT) AS n_rows FROM drops
+""")
+def silver_drop_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that each rule of the job removed, counted while it ran."""
+    out = silver.bronze_to_silver(spark, write_bronze(spark, folder), scratch_path(spark, "silver"))
+    rows = [(tab, reason, n) for tab, dropped in out.dropped.items() for reason, n in dropped.items()]
+    return spark.createDataFrame(rows, "tab string, reason string, n_rows bigint")
+
+
 @query("""
 SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
   round(l_quantity / 10, 4) AS rating, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day,
@@ -340,6 +396,37 @@ def silver_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(gold.silver_to_gold(spark, lake, scratch_path(spark, "gold")))
 
 
+@query(ORACLES["gold_enrich"])
+def bronze_to_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Both jobs through silver tables in buckets of the id."""
+    lake, target = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    return _flat(bucketed.bronze_to_gold(spark, write_bronze(spark, folder), lake, target))
+
+
+@query(ORACLES["silver_tables"])
+def silver_update(spark: SparkSession, folder: str) -> DataFrame:
+    """The silver tables in two runs: the second has one more file of movies."""
+    bronze, lake, state = (scratch_path(spark, name) for name in ("bronze", "silver", "state"))
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    movies = _bronze_columns(messy_movies(spark, folder), schemas.BRONZE_MOVIES)
+    for name, make, schema in _BRONZE:
+        if name != _MOVIES:
+            write_csv(_bronze_columns(make(spark, folder), schema), f"{bronze}/{name}")
+    for part in (0, 1):
+        write_csv(movies.where(half == part), f"{bronze}/movies_metadata_{part}.csv")
+        incremental.update_silver(spark, bronze, lake, state)
+    out = {
+        name: spark.read.parquet(f"{lake}/{path}")
+        for name, path in (
+            ("movies", schemas.MOVIES_TABLE),
+            ("credits", schemas.CREDITS_TABLE),
+            ("keywords", schemas.KEYWORDS_TABLE),
+            ("ratings", schemas.RATINGS_TABLE),
+        )
+    }
+    return _silver_rows(out)
+
+
 def _stored_gold(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "gold")
     write_table(enriched(spark, folder), f"{path}/{schemas.MOVIES_TABLE}")

@@ -62,8 +62,8 @@ def sql_list_text(array: str, template: str = "{'name': '%s'}") -> str:
     )
 
 
-def sql_term_search(source: str, doc: str, text: str, query: str, k: int) -> str:
-    """CTEs up to ``hits`` (id, rank, score): TF-IDF cosine of ``query`` over a table."""
+def sql_term_search(source: str, doc: str, text: str, query: str, k: int, where: str = "TRUE") -> str:
+    """CTEs up to ``hits`` (id, rank, score): TF-IDF cosine of ``query`` over a table, ranks over some rows."""
     return rf"""
 ask AS ({query}),
 bag AS (SELECT {doc} AS id, {_sql_terms(text)} AS words FROM {source} WHERE {text} IS NOT NULL),
@@ -78,7 +78,7 @@ scores AS (
   SELECT bag.id, round(coalesce(dot / nullif(norm * (SELECT sqrt(sum(w * w)) FROM qw), 0), 0), 9) AS score
   FROM bag LEFT JOIN lens USING (id) LEFT JOIN dots USING (id)),
 hits AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM scores
-         ORDER BY rank LIMIT {k})"""
+         WHERE id IN (SELECT {doc} FROM {source} WHERE {where}) ORDER BY rank LIMIT {k})"""
 
 
 def _sql_terms(text: str) -> str:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from gildmill.functions.text import fold_key_no_punctuation
 from gildmill.operators import aggregates, dedup, external, filters, joins
-from gildmill.queries.registry import day_text, query, spread_table, table, words
+from gildmill.operators.filter_store import write_filter_store
+from gildmill.queries.registry import ORACLES, day_text, query, spread_table, table, words
 from gildmill.shipping import ship_package
+from gildmill.sources.writers import scratch_path
 
 
 @query("SELECT DISTINCT text, lang FROM documents")
@@ -178,6 +180,28 @@ def search_filter_year(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("o_orderkey", day_text(F.col("o_orderdate")).alias("day"))
 
 
+@query(ORACLES["search_filter_equal"])
+def stored_filter_equal(spark: SparkSession, folder: str) -> DataFrame:
+    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
+    store = write_filter_store(part, scratch_path(spark, "store"), "p_partkey", text_fields=("p_brand",))
+    return store.search("p_brand", " BRAND#7 ")
+
+
+@query(ORACLES["search_filter_member"])
+def stored_filter_member(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spread_table(spark, folder, "documents", "doc_id").withColumn("names", words(F.col("text")))
+    docs = docs.select("doc_id", "lang", "names")
+    store = write_filter_store(docs, scratch_path(spark, "store"), "doc_id", array_fields=("names",))
+    return store.search("names", "With").select("doc_id", "lang")
+
+
+@query(ORACLES["search_filter_year"])
+def stored_filter_year(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    store = write_filter_store(orders, scratch_path(spark, "store"), "o_orderkey", date_field="day")
+    return store.search("year", "1997").select("o_orderkey", day_text(F.col("day")).alias("day"))
+
+
 def _score_service():
     """Stand-in for an outside service: a pure function of the key."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gildmill.operators import dedup, encode, search
+from gildmill.operators import dedup, encode, latent, search, term_index, vector_tables
 from gildmill.operators.joins import measured_bytes
 from gildmill.plans import documents
 from gildmill.plans.schemas import MOVIES_TABLE
@@ -110,6 +110,17 @@ def search_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(hits)
 
 
+@query()
+def search_topk_approximate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every twentieth vector asks the hash table of all; no SQL, as a few true neighbours may lack."""
+    ship_package(spark)
+    corpus = table(spark, folder, "embeddings")
+    index = vector_tables.build_vector_table(corpus, "vec_id", "embedding", scratch_path(spark, "vectors"), K)
+    asked = corpus.where(F.col("vec_id") % 20 == 0)
+    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return _rounded(vector_tables.nearest_approximate(index, asked, "query_id", "query", K))
+
+
 @query("""
 SELECT CAST(1 AS INT) AS rank, vec_id, label, CAST(0 AS DOUBLE) AS score FROM embeddings WHERE label < 0
 """)
@@ -162,11 +173,26 @@ FROM hits JOIN documents ON doc_id = id
 """)
 def tfidf_search(spark: SparkSession, folder: str) -> DataFrame:
     docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "text")
-    index = encode.index_terms(docs, "text", "doc_id", scratch_path(spark, "terms"))
-    hits = encode.search_terms(index, docs, _first_item(spark, folder), K)
+    index = term_index.index_terms(docs, "text", "doc_id", scratch_path(spark, "terms"))
+    hits = term_index.search_terms(index, docs, _first_item(spark, folder), K)
     return _rounded(hits.select("rank", "doc_id", "lang", "score"))
 
 
+@query(f"""
+WITH {sql_term_search("documents", "doc_id", "text", _SQL_FIRST_ITEM, K, "lang = 'de'")}
+SELECT CAST(rank AS INT) AS rank, doc_id, source, round(score, 6) AS score
+FROM hits JOIN documents ON doc_id = id
+""")
+def indexed_search(spark: SparkSession, folder: str) -> DataFrame:
+    """An index that was stored before is read back and asked for rows of one language."""
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "source", "text")
+    path = scratch_path(spark, "terms")
+    term_index.index_terms(docs, "text", "doc_id", path)
+    index = term_index.read_index(spark, path, "doc_id")
+    hits = term_index.search_terms(index, docs, _first_item(spark, folder), K, F.col("lang") == "de")
+    return _rounded(hits.select("rank", "doc_id", "source", "score"))
+
+
 @query(f"""
 WITH {SQL_GOLD}, {sql_term_search("gold", "id", "combined_text", _SQL_FIRST_ITEM, K)}
 SELECT {SQL_CARD} FROM hits JOIN gold USING (id)
@@ -213,3 +239,14 @@ def search_documents(spark: SparkSession, folder: str) -> DataFrame:
     shape = documents.build_documents(spark.read.parquet(f"{gold}/{MOVIES_TABLE}")).schema
     stored = spark.read.schema(shape.add("vector", T.ArrayType(T.FloatType()))).json(target)
     return documents.search_documents(stored, "1991", _letter_vectors, K, "year")
+
+
+@query()
+def latent_search(spark: SparkSession, folder: str) -> DataFrame:
+    """An encoder is learned from all texts, they are encoded with it, and so is the query."""
+    ship_package(spark)
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "text")
+    load = latent.fit_latent(docs, "text").encoder()
+    asked = load()([_first_item(spark, folder)])[0]
+    hits = search.nearest(encode.encode(docs, "text", load), "doc_id", encode.VECTOR_COLUMN, asked, K)
+    return _rounded(hits.select("rank", "doc_id", "lang", "score"))

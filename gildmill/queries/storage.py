@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gildmill.functions.text import clean_text
 from gildmill.operators import aggregates, dedup, filters, joins, metrics
 from gildmill.queries.registry import day_text, query, spread_table, sql_flat, table
+from gildmill.shipping import ship_package
 from gildmill.sources import readers, writers
+from gildmill.sources.split_csv import read_split_csv
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -61,6 +63,15 @@ def csv_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_csv(spark, path, readers.text_schema(docs.columns), multi_line=True)
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def csv_split_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in one file, which many tasks read."""
+    ship_package(spark)
+    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string"), "text", "lang")
+    path = write_csv(docs.coalesce(1), writers.scratch_path(spark, "csv-split"))
+    return read_split_csv(spark, path, readers.text_schema(docs.columns))
+
+
 @query("""
 SELECT c_custkey, c_name, n_name, CAST(NULL AS VARCHAR) AS note
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
@@ -142,6 +153,22 @@ def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.reconcile(docs, kept, "doc_id")
 
 
+@query("""
+SELECT doc_id, CASE WHEN lang = 'fr' THEN 'missing' ELSE 'changed' END AS difference FROM documents
+WHERE lang = 'fr' OR source = 'src3'
+UNION ALL
+SELECT -1 - doc_id, 'extra' FROM documents WHERE lang = 'es'
+""")
+def reconcile_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that lost one language, changed the texts of one source and holds some rows too many."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    loaded = docs.where(F.col("lang") != "fr").withColumn(
+        "text", F.when(F.col("source") == "src3", F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    )
+    extra = docs.where(F.col("lang") == "es").withColumn("doc_id", -1 - F.col("doc_id"))
+    return metrics.reconcile_ranges(docs, loaded.unionByName(extra), "doc_id").keys
+
+
 @query("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part")
 def cast_keys(spark: SparkSession, folder: str) -> DataFrame:
     from gildmill.operators.columns import cast_keys as cast

@@ -1,16 +1,19 @@
 """Batch document sink as a Spark data source: each task sends its rows in batches.
 
 The client is named as ``module:factory`` and built from the sink's options, to which a
-name of the ``load`` and, in a task, the number of the ``task`` are added. It needs
+name of the ``load`` and, in a task, the numbers of the ``task`` and of its ``attempt`` are
+added. It needs
 
 * ``prepare()``: make an empty collection for this load beside the present one,
 * ``send(batch)``: add a list of dictionaries to it,
-* ``publish(documents)``: put it in the present one's place,
+* ``publish(documents, committed)``: put it in the present one's place, with what the named
+  task attempts sent and nothing else,
 * ``discard()``: drop it, as the job failed,
-* ``count()``: the documents in the present collection,
+* ``count()``: the documents that the present collection holds, by what is stored,
 * ``close()``.
 
-A retried task sends its rows again, so ``send`` must upsert by the document key.
+A retried task sends its rows again under another attempt. A client that can't take back what an
+uncommitted attempt has sent must upsert by the document key.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ BATCH_SIZE = 64
 class SentDocuments(WriterCommitMessage):
     documents: int
     batches: int
+    attempt: str
 
 
 def connect(options: dict):
@@ -50,17 +54,19 @@ class DocumentBatchWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> SentDocuments:
         documents = batches = 0
-        task = str(TaskContext.get().partitionId())
-        with connect({**self.options, "task": task}) as client:
+        context = TaskContext.get()
+        task, attempt = str(context.partitionId()), str(context.attemptNumber())
+        with connect({**self.options, "task": task, "attempt": attempt}) as client:
             for batch in batched(iterator, self.batch_size):
                 client.send([row.asDict(recursive=True) for row in batch])
                 documents += len(batch)
                 batches += 1
-        return SentDocuments(documents, batches)
+        return SentDocuments(documents, batches, f"{task}-{attempt}")
 
     def commit(self, messages) -> None:
+        sent = [m for m in messages if m is not None]
         with connect(self.options) as client:
-            client.publish(sum(m.documents for m in messages if m is not None))
+            client.publish(sum(m.documents for m in sent), [m.attempt for m in sent])
 
     def abort(self, messages) -> None:
         with connect(self.options) as client:

@@ -30,7 +30,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def read_csv(
     spark: SparkSession,
-    paths: str | list[str],
+    paths: str | list[str | list[str]],
     schema: T.StructType,
     multi_line: bool = False,
     keep_corrupt: bool = False,
@@ -40,7 +40,7 @@ def read_csv(
 
     Each path may order its columns in its own way and may lack some: those are null, unless
     they are ``required``, then an error is raised. Files of one path must have one header;
-    others raise when read. ``multi_line`` accepts quoted newlines. Spark cannot split such a
+    others raise when read. A list within the list is one path of several files. ``multi_line`` accepts quoted newlines. Spark cannot split such a
     file, so a large table should come as many files. ``keep_corrupt`` adds the raw text of
     rows that do not fit.
     """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,13 +56,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a table or folder on any file system; False if there was none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def remove_scratch(spark: SparkSession) -> bool:
     """Delete all scratch tables of this session; DataFrames that read them end with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.delete(path, True)
+    return remove_path(spark, scratch_folder(spark))
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage with a written table, which survives the loss of executors."""
     return write_and_read(df, scratch_path(df.sparkSession, name))
+
+
+@contextmanager
+def materialized(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """As ``materialize``, for the length of a block; the table is deleted at its end."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        yield write_and_read(df, path)
+    finally:
+        remove_path(df.sparkSession, path)

@@ -10,7 +10,7 @@ from plans import plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from gildmill.operators import encode, search
+from gildmill.operators import search, term_index
 from gildmill.plans import documents, gold, schemas, silver
 
 GENRES = "[{'id': 16, 'name': 'Animation'}, {'id': 35, 'name': 'Comedy'}]"
@@ -122,6 +122,17 @@ def test_silver_children_and_ratings(lake):
     assert ratings == [("862", "1", 4.0), ("862", "2", 2.0), ("8844", "5", 0.5)]
     assert {"movieId", "imdbId", "tmdbId"} <= set(tables["ratings"].columns)
     assert tables.counts == {"movies": (15, 7), "credits": (4, 2), "keywords": (2, 1), "ratings": (7, 3)}
+    for name, (rows_in, rows_out) in tables.counts.items():
+        assert sum(tables.dropped[name].values()) == rows_in - rows_out
+    assert list(tables.dropped["movies"]) == ["missing_key", "bad_date", "blank_title", "same_id", "near_duplicate"]
+
+
+def test_counts_of_a_table_of_orphans(spark, tmp_path):
+    bronze = bronze_folder(tmp_path / "bronze", ("movies",))
+    write(tmp_path / "bronze" / schemas.KEYWORDS_FILE, schemas.BRONZE_KEYWORDS, [{"id": "-5", "keywords": "[]"}] * 3)
+    tables = silver.bronze_to_silver(spark, bronze, str(tmp_path / "silver"))
+    assert tables.counts["keywords"] == (3, 0)
+    assert tables.dropped["keywords"] == {"missing_key": 0, "orphan": 3, "same_id": 0}
 
 
 def test_gold(lake):
@@ -230,7 +241,7 @@ def test_documents_with_vectors(spark, lake, tmp_path):
 
 def test_search(lake, tmp_path):
     wide = lake[2]
-    index = encode.index_terms(wide, "combined_text", "id", str(tmp_path))
+    index = term_index.index_terms(wide, "combined_text", "id", str(tmp_path))
     cards = documents.search_gold(wide, "a shy waitress", 3, index=index).orderBy("rank").collect()
     assert cards[0]["title"] == "Amélie" and cards[0]["director"] == "Unknown director"
     john = documents.search_gold(wide, "John", field="director", index=index).collect()

@@ -192,6 +192,42 @@ def test_columns(spark):
     assert columns.empty_like(df, {"x": "string", "n": "float"}).count() == 0
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 4096])
+def test_reconcile_by_ranges(spark, ranges):
+    shape = "k string, a string, l array<int>, extra int"
+    rows = [(str(i), f"t{i % 5}", [i, None], i) for i in range(200)] + [("9", "t4", [9, None], 9), (None, "x", None, 0)]
+    source = spark.createDataFrame(rows, shape)
+    same = metrics.reconcile_ranges(source, source.repartition(3).drop("extra"), "k", ranges=ranges)
+    assert tuple(same.summary.first()) == (202, 202, 0, 0, 0) and same.ranges == [] and same.keys.count() == 0
+    loaded = [r for r in rows if r[0] not in ("17", "18")] + [("new", "x", None, 0)]
+    loaded = [(k, "other" if k == "30" else a, [1] if k == "31" else n, e) for k, a, n, e in loaded]
+    loaded.remove(("9", "t4", [9, None], 9))  # one of two
+    report = metrics.reconcile_ranges(source, spark.createDataFrame(loaded, shape), "k", ranges=ranges)
+    assert {(r["k"], r["difference"]) for r in report.keys.collect()} == {
+        ("17", "missing"), ("18", "missing"), ("new", "extra"), ("30", "changed"), ("31", "changed"), ("9", "changed"),
+    }
+    assert tuple(report.summary.first()) == (202, 200, 2, 1, 3)
+    assert len(report.ranges) <= min(ranges, 6)
+
+
+def test_only_unequal_ranges_are_compared_by_key(spark):
+    source = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v"))
+    report = metrics.reconcile_ranges(source, source.where("k <> '500'"), "k")
+    assert len(report.ranges) == 1
+    text = plan_of(report.keys)
+    assert "Join" not in text and str(report.ranges[0]) in text
+    assert [tuple(r) for r in report.keys.collect()] == [("500", "missing")]
+
+
+def test_counts_along_the_way(spark):
+    count = metrics.RowCounts()
+    df = count(spark.range(100), "read")
+    df = count(df.where("id % 2 = 0"), "odd")
+    df = count(df.where("id > 10"), "small")
+    assert len(df.collect()) == 44
+    assert count.passed() == [100, 50, 44] and count.dropped() == {"odd": 50, "small": 6}
+
+
 def test_stage_metrics_and_reconcile(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (5, None), (50, "c")], "n int, t string")
     rules = {"no_number": F.col("n").isNotNull(), "no_text": F.col("t") != "", "big": F.col("n") < 10}
@@ -236,3 +272,72 @@ def test_external_lookup(spark, tmp_path):
     }
     calls = {p.name: len(p.read_text()) for p in tmp_path.iterdir()}
     assert calls == {"a": 1, "flaky": 3, "bad": 3, "unknown": 1}
+
+
+def counted_service(log, seen=None):
+    """Writes the time of every call to a file per call."""
+
+    def connect():
+        import time
+        import uuid
+        from pathlib import Path
+
+        def fetch(key):
+            (Path(log) / f"{key}-{uuid.uuid4().hex}").write_text(repr(time.time()))
+            if key == "bad":
+                raise KeyError("gone")
+            return {"size": len(key)}
+
+        return fetch
+
+    return connect
+
+
+SIZE = T.StructType([T.StructField("size", T.LongType())])
+
+
+def test_one_rate_holds_for_the_whole_job(spark, tmp_path):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(40)], "k string").repartition(6)
+    got = external.enrich_external(
+        df, "k", counted_service(str(tmp_path)), SIZE, parallel=4, job_calls_per_second=25
+    )
+    assert got.where("size is null").count() == 0
+    calls = sorted(float(p.read_text()) for p in tmp_path.iterdir())
+    assert len(calls) == 40
+    # 25 a second in any second; the clock's reading may lag behind a turn by half of one.
+    assert all(b - a >= 1.0 - 0.02 for a, b in zip(calls, calls[26:]))
+
+
+def test_turns_are_shared_and_never_taken_twice():
+    now = [100.0]
+    taken = []
+    tasks = [external.Turns(i, 3, 0.1, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s)) for i in range(3)]
+    for _ in range(5):
+        for i in (2, 0, 1):
+            tasks[i]()
+            taken.append(tasks[i].last)
+    assert len(set(taken)) == len(taken) and {t % 3 for t in taken} == {0, 1, 2}
+    assert all(t.last % 3 == t.mine for t in tasks)
+
+
+def test_stored_answers_are_asked_for_once(spark, tmp_path):
+    log, store = tmp_path / "log", str(tmp_path / "answers")
+    log.mkdir()
+
+    def run(keys, **more):
+        df = spark.createDataFrame([(k,) for k in keys], "k string")
+        got = external.enrich_external(df, "k", counted_service(str(log)), SIZE, retries=0, answers=store, **more)
+        rows = sorted(((r["k"] or "", r["size"], r["lookup_error"]) for r in got.collect()))
+        calls = sorted(p.name.split("-")[0] for p in log.iterdir())
+        for p in log.iterdir():
+            p.unlink()
+        return rows, calls
+
+    rows, calls = run(["a", "bb", "bb", "bad", None])
+    assert calls == ["a", "bad", "bb"]
+    assert rows == [("", None, None), ("a", 1, None), ("bad", None, "KeyError: 'gone'"), ("bb", 2, None), ("bb", 2, None)]
+    rows, calls = run(["a", "ccc", "bad"])  # errors are asked for again
+    assert calls == ["bad", "ccc"] and rows[0] == ("a", 1, None)
+    assert run(["a", "ccc"])[1] == []
+    assert run(["a"], expires_after_seconds=0.0)[1] == ["a"]
+    assert run(["a", "bb"], expires_after_seconds=3600)[1] == []

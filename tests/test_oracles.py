@@ -17,8 +17,12 @@ def duck():
     return connect(FOLDER)
 
 
+# Approximate neighbours and learned vectors: tested against NumPy and exact search instead.
+WITHOUT_SQL = {"search_topk_approximate", "latent_search"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | WITHOUT_SQL
     assert queries().keys() >= QUERIES.keys() and oracle_sql().keys() >= ORACLES.keys()
 
 

@@ -250,6 +250,39 @@ def test_list_text(spark):
     )
 
 
+def test_variant_lists(spark):
+    check(
+        spark,
+        lambda c: nested.variant_names(nested.parse_list_variant(c)),
+        [
+            (GOOD, ["Animation", "Comedy"]),
+            ("[{'id': 1, 'name': \"O'Brien\", 'p': None}]", ["O'Brien"]),
+            ("[{'id': 1, 'name': 'x: None, True', 'q': True}]", ["x: None, True"]),
+            ("[1, {'name': 'k'}, 'name', [2]]", ["k"]),
+            ("[{'name': ''}, {'name': None}, {'id': 2}, {'name': 'z'}]", ["z"]),
+            ("[{'id': 16, 'name': 'Anim", []),
+            ("[]", []),
+            ("junk", []),
+            (None, []),
+        ],
+    )
+
+
+def test_variant_fields_are_chosen_at_query_time(spark):
+    texts = ["[{'name': 'a', 'roles': [{'id': 7}, {'id': 8}]}, {'name': 'b', 'year': 1995}]", "[{'year': 'x'}]", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    items = df.select(nested.parse_list_variant(F.col("t")).alias("items"))
+    got = items.select(
+        nested.variant_values(F.col("items"), "$.roles[1].id", "int").alias("role"),
+        nested.variant_values(F.col("items"), "$.year", "int").alias("year"),
+    ).collect()
+    assert [r["role"] for r in got] == [[8, None], [None], []]
+    assert [r["year"] for r in got] == [[None, 1995], [None], []]
+    shape = nested.list_shape(items, "items")
+    assert "name: STRING" in shape and "roles: ARRAY<OBJECT<id: BIGINT>>" in shape
+    assert nested.list_shape(items.where("size(items) = 0"), "items") == "VOID"
+
+
 def test_list_repair(spark):
     check(
         spark,

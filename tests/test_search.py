@@ -14,7 +14,7 @@ from conftest import TESTDATA
 from plans import plan_of
 from pyspark.sql import functions as F
 
-from gildmill.operators import encode, search
+from gildmill.operators import encode, search, term_index
 
 
 @pytest.fixture(scope="module")
@@ -93,9 +93,9 @@ def test_tfidf_equals_brute_force(spark, tmp_path):
     q = unit(weights(query))
     want = {i: sum(v * q.get(t, 0.0) for t, v in unit(weights(x)).items()) for i, x in rows}
 
-    index = encode.index_terms(docs, "text", "doc_id", str(tmp_path))
-    for read in (index, encode.read_index(spark, str(tmp_path), "doc_id")):
-        got = encode.search_terms(read, docs, query, 20).orderBy("rank").collect()
+    index = term_index.index_terms(docs, "text", "doc_id", str(tmp_path))
+    for read in (index, term_index.read_index(spark, str(tmp_path), "doc_id")):
+        got = term_index.search_terms(read, docs, query, 20).orderBy("rank").collect()
         best = sorted((-round(v, 9), i) for i, v in want.items())[:20]
         assert [r["doc_id"] for r in got] == [i for _, i in best]
         assert [r["score"] for r in got] == pytest.approx([-v for v, _ in best], abs=1e-8)
@@ -105,20 +105,20 @@ def test_tfidf_edges(spark, tmp_path):
     docs = spark.createDataFrame(
         [(1, "space robots fight"), (2, "quiet river town"), (3, None), (4, "")], "id int, t string"
     )
-    index = encode.index_terms(docs, "t", "id", str(tmp_path / "a"))
-    hits = encode.search_terms(index, docs, "Robots!", 5).orderBy("rank").collect()
+    index = term_index.index_terms(docs, "t", "id", str(tmp_path / "a"))
+    hits = term_index.search_terms(index, docs, "Robots!", 5).orderBy("rank").collect()
     assert hits[0]["id"] == 1 and hits[0]["score"] > 0
     assert [(r["id"], r["score"]) for r in hits[1:]] == [(2, 0.0), (4, 0.0)]
-    only = encode.search_terms(index, docs, "robots", 5, F.col("id") == 2).collect()
+    only = term_index.search_terms(index, docs, "robots", 5, F.col("id") == 2).collect()
     assert [r["id"] for r in only] == [2]
     for blank in ("", "   ", None):
         with pytest.raises(ValueError):
-            encode.search_terms(index, docs, blank)
-    assert encode.search_terms(index, docs, "?!").count() == 0
-    unknown = encode.search_terms(index, docs, "zeppelin", 5).collect()
+            term_index.search_terms(index, docs, blank)
+    assert term_index.search_terms(index, docs, "?!").count() == 0
+    unknown = term_index.search_terms(index, docs, "zeppelin", 5).collect()
     assert {r["score"] for r in unknown} == {0.0}
-    empty = encode.index_terms(docs.limit(0), "t", "id", str(tmp_path / "b"))
-    assert encode.search_terms(empty, docs.limit(0), "robots").count() == 0
+    empty = term_index.index_terms(docs.limit(0), "t", "id", str(tmp_path / "b"))
+    assert term_index.search_terms(empty, docs.limit(0), "robots").count() == 0
 
 
 def test_batch_search_of_wide_vectors_is_quick():

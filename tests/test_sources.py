@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from gildmill.operators import metrics
 from gildmill.sources import document_sink, readers, writers
 from gildmill.sources.file_client import FileClient
 
@@ -113,3 +114,32 @@ def test_failed_load_leaves_the_collection(spark, tmp_path):
     assert sorted(map(str, batches_of(tmp_path))) == sorted(map(str, before))
     # the failed load's own folder is gone
     assert len([p for p in tmp_path.iterdir() if p.is_dir()]) == 1
+
+
+def test_a_retry_that_cuts_fewer_batches_leaves_nothing_behind(tmp_path):
+    """Attempt 0 sent three batches and was lost; attempt 1 sends one."""
+    options = {"folder": str(tmp_path), "load": "x"}
+    FileClient(options).prepare()
+    for attempt, batches in (("0", 3), ("1", 1)):
+        client = FileClient({**options, "task": "4", "attempt": attempt})
+        for i in range(batches):
+            client.send([{"id": f"{attempt}{i}"}, {"id": f"{attempt}{i}b"}])
+    other = FileClient({**options, "task": "14", "attempt": "0"})
+    other.send([{"id": "z"}])
+    FileClient(options).publish(3, ["4-1", "14-0"])
+    assert sorted(d["id"] for b in batches_of(tmp_path) for d in b) == ["10", "10b", "z"]
+    assert FileClient(options).count() == 3
+
+
+def test_a_lost_batch_file_is_seen(spark, tmp_path):
+    df = spark.range(0, 300, 1, 2).select(F.col("id").cast("string").alias("tmdb_id"))
+    assert document_sink.send_documents(spark, df, CLIENT, folder=str(tmp_path)) == 300
+    client = FileClient({"folder": str(tmp_path)})
+    lost = sorted(Path(client.collection()).iterdir())[0]
+    n = len(json.loads(lost.read_text()))
+    ids = {d["tmdb_id"] for d in json.loads(lost.read_text())}
+    lost.unlink()
+    assert client.count() == 300 - n
+    stored = spark.read.schema(df.schema).json(client.collection())
+    report = metrics.reconcile_ranges(df, stored, "tmdb_id")
+    assert {(r["tmdb_id"], r["difference"]) for r in report.keys.collect()} == {(i, "missing") for i in ids}
