@@ -17,22 +17,27 @@ corpus, and a search names the folders it reads instead of listing them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gildmill.functions.text import stepwise
 from gildmill.operators.joins import broadcast_if_small
 from gildmill.operators.search import DEFAULT_LIMIT, SCORE_DIGITS, top_k
-from gildmill.sources.writers import write_table
+from gildmill.sources.writers import path_exists, write_table
 
 WORD_BREAK = r"[^\p{L}\p{M}\p{N}]+"
 LEVELS = 64
 LEVELS_PER_HALVING = 4
 BUCKET_POSTINGS = 1 << 21
+LEAST_BUCKETS = 32
+OPENED = 64
 LITERAL_IDS = 2000
 CHEAP_LEVEL = 50_000
 # Scores are rounded before they are ranked; a bound must clear the threshold by more than that.
@@ -75,30 +80,33 @@ class TermIndex:
     id_type: T.DataType
     documents: int
     buckets: int
+    opened: dict = field(default_factory=dict, repr=False, compare=False)
 
     def schema(self, table: str) -> T.StructType:
         level = "array<struct<level: int, top: double, n: bigint>>"
         kind = self.id_type.simpleString()
         columns = {
             "terms": f"term string, idf double, levels {level}",
-            "postings": f"term string, level int, id {kind}, impact double",
+            "postings": f"term string, idf double, level int, id {kind}, impact double",
             "docs": f"id {kind}, norm double, entries array<struct<term: string, tf: int>>",
         }
         return T.StructType.fromDDL(columns[table])
 
     def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
-        """All of a table, or the named buckets of it: other folders are not even listed."""
-        root = f"{self.path}/{table}"
-        wanted = range(self.buckets) if buckets is None else sorted(set(buckets))
-        paths = [p for b in wanted if _exists(self.spark, p := f"{root}/bucket={b}")]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema(table))
-        return self.spark.read.schema(self.schema(table)).parquet(*paths)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+        """All of a table, or the named buckets of it: other folders are not even listed.
+
+        What was opened stays so, files listed, for the next search.
+        """
+        wanted = tuple(range(self.buckets) if buckets is None else sorted(set(buckets)))
+        if (table, wanted) not in self.opened:
+            folders = [f"{self.path}/{table}/bucket={b}" for b in wanted]
+            paths = [p for p in folders if path_exists(self.spark, p)]
+            read = self.spark.read.schema(self.schema(table))
+            if len(self.opened) >= OPENED:
+                self.opened.clear()
+            none = self.spark.createDataFrame([], self.schema(table))
+            self.opened[table, wanted] = read.parquet(*paths) if paths else none
+        return self.opened[table, wanted]
 
 
 def _write_buckets(df: DataFrame, path: str, *order: str) -> None:
@@ -126,58 +134,62 @@ def index_terms(
     write_table(frequency, f"{path}/frequencies")
     frequency = spark.read.schema(frequency.schema).parquet(f"{path}/frequencies")
     n, postings = counts.count(), frequency.agg(F.sum("df")).first()[0] or 0
-    buckets = 8
+    buckets = LEAST_BUCKETS
     while buckets * bucket_postings < postings:
         buckets *= 2
 
     idf = F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0))
     weights = frequency.select("term", idf.alias("idf"), F.ceil(F.col("df") / bucket_postings).alias("pieces"))
-    joined = entries.join(broadcast_if_small(weights), "term")
+    joined = entries.join(broadcast_if_small(weights), "term").withColumn("bucket", bucket_of(F.col("id"), buckets))
     square = F.col("tf") * F.col("idf") * F.col("tf") * F.col("idf")
-    together = joined.groupBy("id").agg(
-        F.sum(square).alias("square"),
+    together = joined.repartition("bucket").groupBy("bucket", "id").agg(
+        F.sqrt(F.sum(square)).alias("norm"),
         F.collect_list(F.struct("term", "tf", "idf", "pieces")).alias("entries"),  # one document's
     )
-    empty = counts.where(F.size("entries") == 0).select(
-        "id", F.lit(0.0).alias("square"), F.lit(None).cast(together.schema["entries"].dataType).alias("entries")
-    )
-    docs = together.unionByName(empty).withColumns(
-        {"norm": F.sqrt("square"), "bucket": bucket_of(F.col("id"), buckets)}
+    _write_buckets(together, f"{path}/docs", "id")
+    wordless = counts.where(F.size("entries") == 0).select(
+        bucket_of(F.col("id"), buckets).alias("bucket"),
+        "id",
+        F.lit(0.0).alias("norm"),
+        F.array().cast(together.schema["entries"].dataType).alias("entries"),
     )
-    docs = docs.select("bucket", "id", "norm", F.coalesce("entries", F.array()).alias("entries"))
-    _write_buckets(docs.repartition("bucket"), f"{path}/docs", "id")
+    wordless.write.mode("append").partitionBy("bucket").parquet(f"{path}/docs")
     size = spark.range(1).select(
         F.lit(n).cast("long").alias("n"), F.lit(buckets).alias("buckets"), F.lit(None).cast(df.schema[id_col].dataType).alias("id")
     )
     write_table(size, f"{path}/size")
 
-    stored = docs.schema
-    hits = spark.read.schema(stored).parquet(f"{path}/docs").select("id", "norm", F.inline("entries"))
+    hits = spark.read.schema(together.schema).parquet(f"{path}/docs").select("id", "norm", F.inline("entries"))
     impact = F.col("tf") * F.col("idf") / F.col("norm")
     hits = hits.where((F.col("norm") > 0) & (F.col("idf") > 0)).withColumn("impact", impact)
     level = F.floor(F.log2("impact") * F.lit(-LEVELS_PER_HALVING))
     placed = hits.select(
         bucket_of(F.col("term"), buckets).alias("bucket"),
         "term",
+        "idf",
         F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), level)).cast("int").alias("level"),
         "id",
         "impact",
         F.pmod(F.xxhash64("id"), F.col("pieces")).alias("piece"),
     )
     divided = placed.repartition("bucket", "piece").drop("piece")
-    _write_buckets(divided, f"{path}/postings", "term", "level", "id")
+    _write_buckets(divided, f"{path}/postings", "term", "level")
 
     index = read_index(spark, path, id_col)
     shape = T.StructType([*index.schema("postings"), T.StructField("bucket", T.IntegerType())])
-    by_level = spark.read.schema(shape).parquet(f"{path}/postings")
-    by_level = by_level.groupBy("bucket", "term", "level").agg(F.max("impact").alias("top"), F.count(F.lit(1)).alias("n"))
-    listed = by_level.groupBy("bucket", "term").agg(  # LEVELS entries at most
+    by_level = spark.read.schema(shape).parquet(f"{path}/postings").groupBy("bucket", "term", "idf", "level")
+    tops = by_level.agg(F.max("impact").alias("top"), F.count(F.lit(1)).alias("n")).repartition("bucket")
+    listed = tops.groupBy("bucket", "term", "idf").agg(  # LEVELS entries at most
         F.array_sort(F.collect_list(F.struct("level", "top", "n"))).alias("levels")
     )
-    known = weights.select("term", "idf", bucket_of(F.col("term"), buckets).alias("bucket"))
-    terms = known.join(listed, ["bucket", "term"], "left")
-    terms = terms.withColumn("levels", F.coalesce("levels", F.array()))
-    _write_buckets(terms.repartition("bucket"), f"{path}/terms", "term")
+    _write_buckets(listed, f"{path}/terms", "term")
+    everywhere = weights.where(F.col("idf") <= 0).select(  # words of every document
+        bucket_of(F.col("term"), buckets).alias("bucket"),
+        "term",
+        "idf",
+        F.array().cast(listed.schema["levels"].dataType).alias("levels"),
+    )
+    everywhere.write.mode("append").partitionBy("bucket").parquet(f"{path}/terms")
     return index
 
 
@@ -208,17 +220,21 @@ class _Term:
         return self.weight * self.levels[self.depth]["top"] if self.depth < len(self.levels) else 0.0
 
 
+def _local(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A few rows of the driver's as a local relation, which needs no job to be read."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def _query_terms(index: TermIndex, query: str) -> tuple[list[_Term], float]:
     """The query's known words, and its length, in which unknown words count."""
-    spark = index.spark
-    text = spark.createDataFrame([(checked_query(query),)], "q string")
+    text = _local(index.spark, q=pa.array([checked_query(query)]))
     asked = text.select(F.inline(counted_terms(terms_of(F.col("q")))))
     asked = asked.withColumn("bucket", bucket_of(F.col("term"), index.buckets)).collect()
     if not asked:
         return [], 0.0
     held = index.read("terms", [r["bucket"] for r in asked])
     known = {r["term"]: r for r in held.where(F.col("term").isin([r["term"] for r in asked])).collect()}
-    unseen = float(spark.range(1).select(F.log(F.lit(index.documents) + 1.0)).first()[0])
+    unseen = math.log(index.documents + 1.0)
     terms, square = [], 0.0
     for r in asked:
         found = known.get(r["term"])
@@ -247,8 +263,11 @@ def _read_levels(index: TermIndex, terms: list[_Term]) -> DataFrame:
 def _partial_scores(index: TermIndex, terms: list[_Term]) -> DataFrame:
     """(id, score, bound): from the read levels, and with what unread ones can add at most."""
     rest = sum(t.bound() for t in terms)
-    known = index.spark.createDataFrame(
-        [(t.name, t.weight, t.bound()) for t in terms], "term string, weight double, unread double"
+    known = _local(
+        index.spark,
+        term=pa.array([t.name for t in terms], pa.string()),
+        weight=pa.array([t.weight for t in terms], pa.float64()),
+        unread=pa.array([t.bound() for t in terms], pa.float64()),
     )
     hits = _read_levels(index, terms).join(F.broadcast(known), "term")  # the query's own words
     gained = F.col("weight") * F.col("impact")
@@ -259,15 +278,17 @@ def _partial_scores(index: TermIndex, terms: list[_Term]) -> DataFrame:
 
 def _exact_scores(index: TermIndex, terms: list[_Term], ids: list) -> DataFrame:
     """(id, score) of the given documents, from their own entries."""
-    spark = index.spark
-    places = spark.createDataFrame([(i,) for i in ids], T.StructType([T.StructField("id", index.id_type)]))
-    buckets = [r[0] for r in places.select(bucket_of(F.col("id"), index.buckets)).distinct().collect()]
+    places = _local(index.spark, id=pa.array(ids, to_arrow_type(index.id_type)))
+    buckets = [r[0] for r in places.select(bucket_of(F.col("id"), index.buckets)).collect()]
     return _scored(index, terms, index.read("docs", buckets).where(F.col("id").isin(ids)))
 
 
 def _scored(index: TermIndex, terms: list[_Term], docs: DataFrame) -> DataFrame:
-    names = [(t.name, t.idf * t.weight) for t in terms]
-    known = index.spark.createDataFrame(names, "term string, weight double")
+    known = _local(
+        index.spark,
+        term=pa.array([t.name for t in terms], pa.string()),
+        weight=pa.array([t.idf * t.weight for t in terms], pa.float64()),
+    )
     entries = docs.select("id", "norm", F.inline("entries"))
     hits = entries.join(F.broadcast(known), "term")  # the query's own words
     gained = F.sum(F.col("tf") * F.col("weight")) / F.first("norm")
@@ -326,8 +347,8 @@ def search_terms(
         rest = permitted(held).orderBy("id").limit(k - len(best)).collect()
         best += [(r["id"], 0.0) for r in rest]
     ids = [i for i, _ in best]
-    shape = T.StructType([T.StructField(id_col, index.id_type), T.StructField("score", T.DoubleType())])
-    scores = index.spark.createDataFrame(best, shape)  # k rows at most
+    columns = {id_col: pa.array(ids, to_arrow_type(index.id_type)), "score": pa.array([s for _, s in best], pa.float64())}
+    scores = _local(index.spark, **columns)  # k rows at most
     found = df.where(F.col(id_col).isin(ids)).join(F.broadcast(scores), id_col)
     return top_k(found, "score", [id_col], k)
 

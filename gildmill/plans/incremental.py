@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from gildmill.operators import dedup, joins
 from gildmill.plans import schemas as S
 from gildmill.plans import silver as rules
-from gildmill.sources.readers import read_csv, read_optional
-from gildmill.sources.writers import materialized, write_and_read, write_table
+from gildmill.sources.readers import read_csv
+from gildmill.sources.writers import materialized, path_exists, write_and_read, write_table
 
 BUCKETS = 64
 _BUCKET = "_bucket"
@@ -94,9 +94,10 @@ def input_files(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]
 
 
 def _known(spark: SparkSession, state: str) -> dict[str, set[tuple[str, int, int]]]:
-    table = read_optional(spark, lambda s: s.read.schema(_MANIFEST).parquet(f"{state}/manifest"))
     known: dict[str, set[tuple[str, int, int]]] = {}
-    for r in table.collect() if table is not None else []:
+    if not path_exists(spark, f"{state}/manifest"):
+        return known
+    for r in spark.read.schema(_MANIFEST).parquet(f"{state}/manifest").collect():
         known.setdefault(r["tab"], set()).add((r["path"], r["size"], r["changed"]))
     return known
 

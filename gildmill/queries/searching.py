@@ -172,24 +172,56 @@ SELECT CAST(rank AS INT) AS rank, doc_id, lang, round(score, 6) AS score
 FROM hits JOIN documents ON doc_id = id
 """)
 def tfidf_search(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "text")
-    index = term_index.index_terms(docs, "text", "doc_id", scratch_path(spark, "terms"))
-    hits = term_index.search_terms(index, docs, _first_item(spark, folder), K)
+    """A search on the ready index of all documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang")
+    hits = term_index.search_terms(_ready_index(spark, folder), docs, _first_item(spark, folder), K)
     return _rounded(hits.select("rank", "doc_id", "lang", "score"))
 
 
+_READY: dict[tuple[str, str], str] = {}
+
+
+def _ready_index(spark: SparkSession, folder: str) -> term_index.TermIndex:
+    """The documents' index, as a load leaves it: written by the session's first search, then read."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _READY:
+        docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
+        path = scratch_path(spark, "terms")
+        term_index.index_terms(docs, "text", "doc_id", path)
+        _READY[key] = path
+    return term_index.read_index(spark, _READY[key], "doc_id")
+
+
+@query(rf"""
+WITH words AS (
+  SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda t: t <> '')) AS term
+  FROM documents WHERE text IS NOT NULL),
+num AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL)
+SELECT term, count(DISTINCT doc_id) AS n_documents,
+  round(ln((max(n) + 1.0) / (count(DISTINCT doc_id) + 1.0)), 6) AS idf
+FROM words, num GROUP BY term
+""")
+def build_term_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The load of an index: its terms, with the postings that its levels hold."""
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
+    index = term_index.index_terms(docs, "text", "doc_id", scratch_path(spark, "terms"))
+    held = F.aggregate("levels", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    everywhere = F.when(F.col("idf") <= 0, F.lit(index.documents).cast("long"))
+    return index.read("terms").select(
+        "term", F.coalesce(everywhere, held).alias("n_documents"), F.round("idf", 6).alias("idf")
+    )
+
+
 @query(f"""
 WITH {sql_term_search("documents", "doc_id", "text", _SQL_FIRST_ITEM, K, "lang = 'de'")}
 SELECT CAST(rank AS INT) AS rank, doc_id, source, round(score, 6) AS score
 FROM hits JOIN documents ON doc_id = id
 """)
 def indexed_search(spark: SparkSession, folder: str) -> DataFrame:
-    """An index that was stored before is read back and asked for rows of one language."""
-    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "lang", "source", "text")
-    path = scratch_path(spark, "terms")
-    term_index.index_terms(docs, "text", "doc_id", path)
-    index = term_index.read_index(spark, path, "doc_id")
-    hits = term_index.search_terms(index, docs, _first_item(spark, folder), K, F.col("lang") == "de")
+    """The same index asked for rows of one language."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    where = F.col("lang") == "de"
+    hits = term_index.search_terms(_ready_index(spark, folder), docs, _first_item(spark, folder), K, where)
     return _rounded(hits.select("rank", "doc_id", "source", "score"))
 
 

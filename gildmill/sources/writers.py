@@ -56,6 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder, on any file system?"""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a table or folder on any file system; False if there was none."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
