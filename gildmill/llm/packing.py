@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -49,35 +50,51 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Parts(dict):
-    """Ids, as bytes, of the parts that the tokenizer cuts words into."""
+class _Recent(dict):
+    """A cache of bounded size. When full it becomes the older generation, whose entries come back."""
+
+    limit = 250_000
+
+    def __init__(self):
+        self.older: dict[str, bytes] = {}
+
+    def keep(self, key: str, ids: bytes) -> None:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = ids
 
-    limit = 200_000
+
+class _Parts(_Recent):
+    """Ids, as bytes, of the parts that the tokenizer cuts words into."""
 
     def __init__(self, model):
+        super().__init__()
         self.tokenize = model.tokenize
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array([t.id for t in self.tokenize(part)], "<u4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        self[part] = ids
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.merged(part)
+        self.keep(part, ids)
         return ids
 
+    def merged(self, part: str) -> bytes:
+        return struct.pack(f"<{len(tokens := self.tokenize(part))}I", *[t.id for t in tokens])
+
 
-class WordIds(dict):
+class WordIds(_Recent):
     """Ids, as little-endian bytes, of a white-space separated word.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are those of its
-    words. Words recur; both caches are emptied when full. Words of plain Latin letters are
-    cut here by the tokenizer's own pattern, all others by the tokenizer.
+    words. Words recur. Words of plain Latin letters are cut here by the tokenizer's own pattern,
+    all others by the tokenizer.
     """
 
-    limit = 200_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = _Parts(self.tokenizer.model)
         self.letters = _byte_letters()
@@ -86,6 +103,16 @@ class WordIds(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is not None:
+            self.keep(word, ids)
+            return ids
+        if word.isascii() and word.isalpha():  # one part
+            lower = word.lower()
+            ids = self.parts.merged(word) if word == lower else self[lower]
+            if len(word) <= 40:
+                self.keep(word, ids)
+            return ids
         if "<|" in word:
             return self.encode(word)
         if _PLAIN.fullmatch(word):
@@ -97,9 +124,7 @@ class WordIds(dict):
             parts = [p for p, _ in cut(self.tokenizer.normalizer.normalize_str(word))]
         ids = b"".join(map(self.parts.__getitem__, parts))
         if len(word) <= 40:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = ids
+            self.keep(word, ids)
         return ids
 
     def text(self, text: str) -> bytes:
