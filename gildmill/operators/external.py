@@ -115,20 +115,24 @@ def _fresh(stored: DataFrame, expires_after_seconds: float | None) -> DataFrame:
 class Turns:
     """Turn ``mine`` of ``tasks`` on a common clock that has one turn every ``seconds``.
 
-    A task may call in every ``tasks``-th turn, once. No two tasks share a turn, so a job's calls are
-    at least ``seconds`` apart as far as the executors' clocks agree.
+    A task may call in every ``tasks``-th turn, once, and only in the turn's first half: one that wakes up
+    later waits for its next turn. No two tasks share a turn, so no more calls are made in any time
+    than turns begin in it, but one, as far as the executors' clocks agree.
     """
 
     def __init__(self, mine: int, tasks: int, seconds: float, clock=time.time, sleep=time.sleep):
         self.mine, self.tasks, self.seconds = mine, tasks, seconds
-        self.clock, self.sleep, self.last = clock, sleep, -1
+        self.clock, self.sleep, self.last = clock, sleep, None
 
     def __call__(self) -> None:
-        now = int(self.clock() / self.seconds)
-        turn = now + (self.mine - now) % self.tasks
-        if turn <= self.last or turn == now and self.clock() > (turn + 0.5) * self.seconds:
-            turn = max(self.last, turn) + self.tasks
-        self.last = turn
-        pause = turn * self.seconds - self.clock()
-        if pause > 0:
-            self.sleep(pause)
+        while True:
+            now = int(self.clock() / self.seconds)
+            turn = now + (self.mine - now) % self.tasks
+            if self.last is not None:
+                turn = max(turn, self.last + self.tasks)
+            self.last = turn
+            pause = turn * self.seconds - self.clock()
+            if pause > 0:
+                self.sleep(pause)
+            if self.clock() < (turn + 0.5) * self.seconds:
+                return
