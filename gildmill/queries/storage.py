@@ -12,6 +12,8 @@ from gildmill.shipping import ship_package
 from gildmill.sources import readers, writers
 from gildmill.sources.split_csv import read_split_csv
 
+PARTITIONS_TO_A_FILE = 4
+
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Headered CSV with doubled quotes, as the readers expect it."""
@@ -65,10 +67,14 @@ def csv_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
 def csv_split_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The same in one file, which many tasks read."""
+    """The same in few large files, each of which many tasks read.
+
+    A file is written by one task, so it holds some partitions of the scan and no more.
+    """
     ship_package(spark)
     docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string"), "text", "lang")
-    path = write_csv(docs.coalesce(1), writers.scratch_path(spark, "csv-split"))
+    files = -(-docs.rdd.getNumPartitions() // PARTITIONS_TO_A_FILE)
+    path = write_csv(docs.coalesce(max(1, files)), writers.scratch_path(spark, "csv-split"))
     return read_split_csv(spark, path, readers.text_schema(docs.columns))
 
 
