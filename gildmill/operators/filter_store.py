@@ -67,13 +67,17 @@ class FilterStore:
 
     def members(self, name: str, value: str) -> DataFrame:
         """(key, decade) of the rows whose field ``name`` holds ``value``, whatever its case."""
+        return self._stored_members(name, value).distinct()
+
+    def _stored_members(self, name: str, value: str) -> DataFrame:
+        """As ``members``; rows that share a key and decade come once each."""
         folded = fold_key(F.lit(value))
         bucket = self.spark.range(1).select(_name_bucket(folded, self.buckets)).first()[0]
         stored = self.spark.read.parquet(f"{self.path}/members/{name}").where(F.col("bucket") == bucket)
         return stored.where(F.col("name") == folded).select(self.key, DECADE)
 
     def _holding(self, rows: DataFrame, name: str, value: str) -> DataFrame:
-        found = self.members(name, value)
+        found = self._stored_members(name, value)
         some = found.limit(LITERAL_KEYS + 1).collect()
         if len(some) > LITERAL_KEYS:
             near = found.select(self.key, F.coalesce(DECADE, F.lit(-1)).alias(DECADE))
@@ -119,11 +123,14 @@ def write_filter_store(
         while buckets * bucket_members < most:
             buckets *= 2
     for name in array_fields:
-        every = stored.where(F.col(key).isNotNull()).select(key, DECADE, F.explode(F.col(name)).alias("name"))
-        once = every.select(fold_key(F.col("name")).alias("name"), key, DECADE).where("name is not null").distinct()
+        # A row's members are made distinct within the row: nothing is gathered or shuffled for it.
+        held = F.array_distinct(F.transform(F.array_distinct(name), fold_key))
+        every = stored.where(F.col(key).isNotNull()).select(key, DECADE, F.explode(held).alias("name"))
+        once = every.where("name is not null").select("name", key, DECADE)
         bucketed = once.withColumn("bucket", _name_bucket(F.col("name"), buckets))
-        # By ranges, so a name that most rows hold is written by several tasks.
-        ranged = bucketed.repartitionByRange("bucket", "name", key).sortWithinPartitions("bucket", "name", key)
+        # By ranges, so a name that most rows hold is written by several tasks; as many as there are
+        # buckets, so a task sorts about ``bucket_members`` members however many there are.
+        ranged = bucketed.repartitionByRange(buckets, "bucket", "name", key).sortWithinPartitions("bucket", "name", key)
         ranged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/members/{name}")
     meta = [(key, list(text_fields), list(array_fields), date_field, buckets)]
     write_table(spark.createDataFrame(meta, _META), f"{path}/meta")

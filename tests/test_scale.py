@@ -19,3 +19,21 @@ def test_one_task_does_not_write_the_whole_csv(spark, tmp_path):
     found = storage.csv_split_scan(spark, str(tmp_path))
     assert len(set(found.inputFiles())) > 1
     assert sorted(map(tuple, found.collect())) == sorted((str(i), t, x) for i, t, x in rows)
+
+
+def test_members_of_a_store_are_made_distinct_in_their_rows(spark, tmp_path):
+    rows = [(1, ["With", " with", None, "a"]), (2, ["with", "with"]), (2, ["WITH"]), (None, ["with"]), (3, []), (4, None)]
+    df = spark.createDataFrame(rows, "id long, names array<string>")
+    store = filter_store.write_filter_store(df, str(tmp_path), "id", array_fields=("names",))
+    stored = spark.read.parquet(f"{tmp_path}/members/names")
+    assert sorted((r["name"], r["id"]) for r in stored.collect()) == [("a", 1), ("with", 1), ("with", 2), ("with", 2)]
+    assert sorted(r["id"] for r in store.members("names", "WITH").collect()) == [1, 2]
+    assert sorted(r["id"] for r in store.search("names", "with").collect()) == [1, 2, 2]
+
+
+def test_members_are_written_by_more_tasks_as_they_grow(spark, tmp_path):
+    df = spark.range(4000).select("id", F.array((F.col("id") % 50).cast("string")).alias("names"))
+    store = filter_store.write_filter_store(df, str(tmp_path), "id", array_fields=("names",), bucket_members=64)
+    files = spark.read.parquet(f"{tmp_path}/members/names").select(F.input_file_name().alias("f"))
+    tasks = files.select(F.regexp_extract("f", r"part-(\d+)", 1)).distinct().count()
+    assert store.buckets == 64 and tasks > 32
