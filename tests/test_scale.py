@@ -37,3 +37,15 @@ def test_members_are_written_by_more_tasks_as_they_grow(spark, tmp_path):
     files = spark.read.parquet(f"{tmp_path}/members/names").select(F.input_file_name().alias("f"))
     tasks = files.select(F.regexp_extract("f", r"part-(\d+)", 1)).distinct().count()
     assert store.buckets == 64 and tasks > 32
+
+
+def test_a_sending_task_takes_few_rows_at_a_time(spark, tmp_path, monkeypatch):
+    seen, save = [], DataFrameWriter.save
+    monkeypatch.setattr(
+        DataFrameWriter, "save", lambda self, *a, **k: (seen.append(spark.conf.get(document_sink.ARROW_ROWS)), save(self, *a, **k))
+    )
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = spark.range(0, 300, 1, 2).select(F.col("id").cast("string").alias("tmdb_id"))
+    assert document_sink.send_documents(spark, df, "gildmill.sources.file_client:connect", folder=str(tmp_path)) == 300
+    assert seen == [str(document_sink.BATCH_SIZE)]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
