@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gildmill.plans import gold as gold_plan
 from gildmill.plans import schemas as S
 from gildmill.plans.silver import DEFAULT_POLICY, CleaningPolicy, bronze_to_silver
-from gildmill.sources.writers import write_and_read
+from gildmill.sources.writers import COMPRESSION, write_and_read
 
 
 @contextmanager
@@ -36,6 +36,7 @@ def bucketed_writer(
     def write(df: DataFrame, path: str) -> DataFrame:
         names.append(f"gildmill_{uuid.uuid4().hex}")
         writer = df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet")
+        writer = writer.option("compression", COMPRESSION)
         writer.bucketBy(buckets, key).option("path", path).saveAsTable(names[-1])
         return spark.table(names[-1])
 

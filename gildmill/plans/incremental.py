@@ -7,8 +7,8 @@ results are staged per table, in folders by key. A run
 1. lists the input files and compares them with the manifest of the last run,
 2. reads the new files alone, and merges their rows into the folders that hold their keys, which
    are overwritten as a whole (dynamic partition overwrite), others stay,
-3. derives the silver tables from the staged ones: near duplicates, orphans and mapped ids depend on
-   the other rows and tables, but need no list or date to be parsed again,
+3. derives the silver tables whose staged rows have changed: near duplicates, orphans and mapped ids
+   depend on the other rows and tables, but need no list or date to be parsed again,
 4. enters each step in the manifest when it is done, and takes a table out of it before its folders
    are overwritten.
 
@@ -28,12 +28,22 @@ from pyspark.sql import functions as F
 from gildmill.operators import dedup, joins
 from gildmill.plans import schemas as S
 from gildmill.plans import silver as rules
-from gildmill.sources.readers import read_csv
-from gildmill.sources.writers import materialized, path_exists, write_and_read, write_table
+from gildmill.sources.readers import read_csv, spread_files
+from gildmill.sources.writers import COMPRESSION, materialized, path_exists, write_table
 
 BUCKETS = 64
 _BUCKET = "_bucket"
-_DERIVED = "derived"  # in the manifest while the silver tables fit the staged ones
+_PART = "_part"
+# In the manifest, with a table's name, while that silver table fits the staged ones.
+_DERIVED = "derived "
+# The silver tables that a staged one goes into.
+_GOES_INTO = {
+    "movies": ("movies", "credits", "keywords"),
+    "credits": ("credits",),
+    "keywords": ("keywords",),
+    "ratings": ("ratings",),
+    "links": ("ratings",),
+}
 _MANIFEST = "tab string, path string, size bigint, changed bigint"
 
 
@@ -47,13 +57,13 @@ class _Input:
     multi_line: bool
     by_row: Callable[[DataFrame], DataFrame]
     key: str
-    best: Callable[[DataFrame], DataFrame]
+    best: Callable[..., DataFrame] | None  # None: all rows that differ
 
 
 def _inputs(policy: rules.CleaningPolicy) -> dict[str, _Input]:
     def child(files, schema, lists):
         by_row = lambda df: rules.repaired_child(df, "id", lists, policy)
-        return _Input(files, schema, ["id"], True, by_row, "id", lambda df: rules.one_child_per_key(df, "id", lists))
+        return _Input(files, schema, ["id"], True, by_row, "id", lambda df, within: rules.one_child_per_key(df, "id", lists, within))
 
     return {
         "movies": _Input(
@@ -64,11 +74,11 @@ def _inputs(policy: rules.CleaningPolicy) -> dict[str, _Input]:
         "keywords": child(S.KEYWORDS_FILE, S.BRONZE_KEYWORDS, ["keywords"]),
         "ratings": _Input(
             S.RATINGS_FILE, S.BRONZE_RATINGS, ["userId", "movieId", "rating"], False,
-            rules.clean_ratings, "movieId", dedup.distinct_rows,
+            rules.repaired_ratings, "movieId", None,
         ),
         "links": _Input(
             S.LINKS_FILE, S.BRONZE_LINKS, ["movieId", "tmdbId"], False,
-            rules.clean_links, "movieId", dedup.distinct_rows,
+            rules.clean_links, "movieId", None,
         ),
     }
 
@@ -105,18 +115,31 @@ def _known(spark: SparkSession, state: str) -> dict[str, set[tuple[str, int, int
 def _stage(spark: SparkSession, path: str, spec: _Input, files: list[str], anew: bool, buckets: int) -> None:
     """Merge the rows of some files, which have one header, into the staged table."""
     raw = read_csv(spark, [files], spec.schema, spec.multi_line, required=spec.required)
-    rows = spec.by_row(raw.repartition(F.col(spec.key)) if spec.multi_line else raw)
+    rows = spec.by_row(spread_files(raw) if spec.multi_line else raw)
     bucket = F.pmod(F.xxhash64(spec.key), F.lit(buckets)).cast("int")
-    with materialized(rows.withColumn(_BUCKET, bucket), "fresh") as fresh:
-        every = fresh
-        if not anew:
-            touched = [r[0] for r in fresh.select(_BUCKET).distinct().collect()]  # ``buckets`` at most
-            old = spark.read.schema(fresh.schema).parquet(path).where(F.col(_BUCKET).isin(touched))
-            every = fresh.unionByName(old)
-        best = spec.best(every.drop(_BUCKET)).withColumn(_BUCKET, bucket)
-        writer = best.repartition(_BUCKET, F.xxhash64(*best.columns) % 4).write.mode("overwrite")
-        mode = "static" if anew else "dynamic"
-        writer.option("partitionOverwriteMode", mode).partitionBy(_BUCKET).parquet(path)
+    fresh = rows.withColumn(_BUCKET, bucket)
+    if anew:  # nothing to merge with, so the rows go straight to their folders
+        _write_best(fresh, path, spec, "static")
+        return
+    with materialized(fresh, "fresh") as fresh:
+        touched = [r[0] for r in fresh.select(_BUCKET).distinct().collect()]  # ``buckets`` at most
+        old = spark.read.schema(fresh.schema).parquet(path).where(F.col(_BUCKET).isin(touched))
+        _write_best(fresh.unionByName(old), path, spec, "dynamic")
+
+
+def _write_best(rows: DataFrame, path: str, spec: _Input, mode: str) -> None:
+    """The best row of each key, in folders by bucket, of which four tasks each write a part.
+
+    Rows of one key are divided as they are written, so they move once.
+    """
+    if spec.best is None:
+        best = dedup.distinct_rows(rows)
+        divided = best.repartition(_BUCKET, F.xxhash64(*best.columns) % 4)
+    else:
+        part = F.pmod(F.hash(spec.key), F.lit(4))
+        divided = spec.best(rows.withColumn(_PART, part).repartition(_BUCKET, _PART), (_BUCKET, _PART)).drop(_PART)
+    writer = divided.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.option("compression", COMPRESSION).partitionBy(_BUCKET).parquet(path)
 
 
 def update_silver(
@@ -148,7 +171,8 @@ def update_silver(
         path = f"{state}/{name}"
         if new or (before and not present):
             done.pop(name, None)
-            done.pop(_DERIVED, None)
+            for table in _GOES_INTO[name]:
+                done.pop(_DERIVED + table, None)
             write_manifest()
         if new:
             _stage(spark, path, spec, new, anew, buckets)
@@ -156,24 +180,28 @@ def update_silver(
             write_manifest()
         if present:
             staged[name] = spark.read.parquet(path).drop(_BUCKET)
-    if _DERIVED not in done:
-        _derive(staged, silver, policy)
-        done[_DERIVED] = {("", 0, 0)}
+    stale = [t for t in ("movies", "credits", "keywords", "ratings") if _DERIVED + t not in done]
+    if stale:
+        _derive(spark, staged, silver, policy, stale)
+        done |= {_DERIVED + table: {("", 0, 0)} for table in stale}
         write_manifest()
     return read
 
 
-def _derive(staged: dict[str, DataFrame], silver: str, policy: rules.CleaningPolicy) -> None:
-    """The rules that look at other rows and tables."""
+def _derive(
+    spark: SparkSession, staged: dict[str, DataFrame], silver: str, policy: rules.CleaningPolicy, stale: list[str]
+) -> None:
+    """The rules that look at other rows and tables, for the tables whose staged rows have changed."""
     movies = None
     if "movies" in staged:
-        kept = rules.one_movie_per_title(staged["movies"], policy)
-        movies = write_and_read(kept, f"{silver}/{S.MOVIES_TABLE}")
+        if "movies" in stale:
+            write_table(rules.one_movie_per_title(staged["movies"], policy), f"{silver}/{S.MOVIES_TABLE}")
+        movies = spark.read.parquet(f"{silver}/{S.MOVIES_TABLE}")
     for name, table in (("credits", S.CREDITS_TABLE), ("keywords", S.KEYWORDS_TABLE)):
-        if name in staged:
+        if name in staged and name in stale:
             rows = staged[name]
             write_table(rows if movies is None else joins.drop_orphans(rows, movies, "id"), f"{silver}/{table}")
-    if "ratings" in staged:
+    if "ratings" in staged and "ratings" in stale:
         if "links" in staged:
             linked = joins.map_keys(staged["ratings"], staged["links"], "movieId", "tmdbId", "id")
         else:

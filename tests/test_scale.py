@@ -49,3 +49,32 @@ def test_a_sending_task_takes_few_rows_at_a_time(spark, tmp_path, monkeypatch):
     assert document_sink.send_documents(spark, df, "gildmill.sources.file_client:connect", folder=str(tmp_path)) == 300
     assert seen == [str(document_sink.BATCH_SIZE)]
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_files_that_are_many_are_not_shuffled_before_their_repair(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 4000, 1, 2 * cores).select(F.col("id").cast("string"))
+    for name, df, moved in (("many", many, False), ("one", many.coalesce(1), True)):
+        df.write.csv(f"{tmp_path}/{name}")
+        found = readers.spread_files(spark.read.csv(f"{tmp_path}/{name}"))
+        assert ("Exchange" in plan_of(found)) is moved and found.count() == 4000
+
+
+def test_an_update_moves_rows_once_and_derives_what_has_changed(spark, tmp_path, monkeypatch):
+    bronze, lake, state = (str(tmp_path / x) for x in ("bronze", "silver", "state"))
+    movies = spark.createDataFrame([(str(i), f"T {i % 5}", "2001-01-01") for i in range(9)], "id string, title string, release_date string")
+    ratings = spark.createDataFrame([("1", "3", "4.0", "9")] * 2, "userId string, movieId string, rating string, timestamp string")
+    storage.write_csv(movies.where("id < 5"), f"{bronze}/movies_metadata_0.csv")
+    storage.write_csv(ratings, f"{bronze}/ratings_small.csv")
+    merged, written = [], []
+    fresh, write = incremental.materialized, incremental.write_table
+    monkeypatch.setattr(incremental, "materialized", lambda df, name: merged.append(name) or fresh(df, name))
+    monkeypatch.setattr(incremental, "write_table", lambda df, path: written.append(path.rsplit("/", 1)[1]) or write(df, path))
+    incremental.update_silver(spark, bronze, lake, state)
+    assert not merged and {"movies.parquet", "ratings.parquet"} <= set(written)
+    written.clear()
+    storage.write_csv(movies.where("id >= 5"), f"{bronze}/movies_metadata_1.csv")
+    incremental.update_silver(spark, bronze, lake, state)
+    assert merged == ["fresh"] and "movies.parquet" in written and "ratings.parquet" not in written
+    assert spark.read.parquet(f"{lake}/ratings.parquet").count() == 1
+    assert sorted(r["id"] for r in spark.read.parquet(f"{lake}/movies.parquet").collect()) == list("01234")
