@@ -78,3 +78,27 @@ def test_an_update_moves_rows_once_and_derives_what_has_changed(spark, tmp_path,
     assert merged == ["fresh"] and "movies.parquet" in written and "ratings.parquet" not in written
     assert spark.read.parquet(f"{lake}/ratings.parquet").count() == 1
     assert sorted(r["id"] for r in spark.read.parquet(f"{lake}/movies.parquet").collect()) == list("01234")
+
+
+def test_an_index_shuffles_only_rare_terms_to_their_weights(spark, tmp_path, monkeypatch):
+    rows = [(i, f"all some{i % 3} rare{i}" + (" rare7" if i == 8 else "")) for i in range(40)]
+    df = spark.createDataFrame([*rows, (40, "all all"), (41, " ")], "id long, t string")
+    monkeypatch.setattr(term_index, "BROADCAST_LIMIT_BYTES", 1 << 20)
+    whole = term_index.index_terms(df, "t", "id", f"{tmp_path}/a", bucket_postings=4)
+    monkeypatch.setattr(term_index, "BROADCAST_LIMIT_BYTES", 300)
+    divided = term_index.index_terms(df, "t", "id", f"{tmp_path}/b", bucket_postings=4)
+    frequency = spark.read.parquet(f"{tmp_path}/b/frequencies")
+    assert [term_index._least_common(frequency, n) for n in (1 << 20, 300, 1)] == [1, 8, 1 << 62]
+    for name in ("terms", "postings", "docs"):
+        found = [
+            sorted(str(r) for r in x.read(name).withColumns(
+                {c: F.sort_array(c) for c, t in x.read(name).dtypes if t.startswith("array")}
+            ).collect())
+            for x in (whole, divided)
+        ]
+        assert found[0] == found[1] and found[0]
+    entries = spark.read.parquet(f"{tmp_path}/b/counts").select("id", F.inline("entries"))
+    weights = frequency.withColumn("idf", F.col("df") * 1.0)
+    near = plan_of(term_index._weighted(entries, weights, 8))
+    assert "BroadcastHashJoin" in near and near.count("LeftAnti") == 1
+    assert "Exchange hashpartitioning" not in plan_of(term_index._weighted(entries, weights, 1))
