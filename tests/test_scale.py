@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
@@ -91,7 +93,7 @@ def test_an_index_shuffles_only_rare_terms_to_their_weights(spark, tmp_path, mon
     assert [term_index._least_common(frequency, n) for n in (1 << 20, 300, 1)] == [1, 8, 1 << 62]
     for name in ("terms", "postings", "docs"):
         found = [
-            sorted(str(r) for r in x.read(name).withColumns(
+            sorted(re.sub(r"\d+\.\d+", lambda m: f"{float(m[0]):.9f}", str(r)) for r in x.read(name).withColumns(
                 {c: F.sort_array(c) for c, t in x.read(name).dtypes if t.startswith("array")}
             ).collect())
             for x in (whole, divided)
