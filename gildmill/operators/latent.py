@@ -5,16 +5,20 @@ subspace iteration: a random orthonormal start, then a few passes Z = X'(XQ), ea
 new orthonormal Q; the last pass also gives the small matrix Q'X'XQ, whose eigenvectors turn Q into
 the leading right singular vectors. A text's vector is its row of X times these.
 
-X is never stored. Each pass reads the counted texts, every task multiplies blocks of them and adds
-up its part of Z, and parts are summed by ranges of terms. The vocabulary is a parameter of
+Texts are read twice, for the terms' frequencies and to store X as places in the vocabulary and
+counts. Each pass over X reads these numbers, every task multiplies row after row and adds up its part of Z, and parts are summed by ranges of terms. A row's
+terms are distinct, so its part is one product of small dense matrices. The vocabulary is a parameter of
 the model, the most frequent ``terms`` words, and bounds all that the driver and a task hold:
 ``terms * (dimensions + EXTRA)`` numbers, 21 MB by default, whatever the size of the corpus.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gildmill.operators.term_index import counted_terms, terms_of
 from gildmill.sources.writers import materialized
 
 TERMS = 1 << 15
@@ -32,7 +35,11 @@ PASSES = 4
 LEAST_DOCUMENTS = 2
 SEED = 7
 _RANGE = 1024  # terms to a part of Z
-_ENTRIES = 1 << 15  # matrix entries multiplied at a time
+_WORD = r"[\p{L}\p{M}\p{N}]+"
+_FREQUENCY = "term string, df long"
+_HELD = 1 << 18  # words that a task counts before it sends them on
+_MATRIX = "places array<int>, counts array<int>"
+_BEYOND = re.compile("[\ud800-\udfff\U00010000-\U0010ffff]")
 
 
 @dataclass(frozen=True)
@@ -54,9 +61,8 @@ class LatentModel:
             def model(texts: list[str]) -> np.ndarray:
                 out = np.zeros((len(texts), directions.shape[1]), "float32")
                 for i, text in enumerate(texts):
-                    at, counts = np.unique([place[w] for w in words_of(text) if w in place], return_counts=True)
+                    at, counts = _row(text, place)
                     if len(at):
-                        at = at.astype(np.int64)
                         weight = counts * idf[at]
                         out[i] = (weight / (np.linalg.norm(weight) or 1.0)) @ directions[at]
                 return out
@@ -86,7 +92,22 @@ def words_of(text: str) -> list[str]:
     """The words of ``terms_of`` for a text in a task."""
     import regex
 
-    return [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", text.lower()) if w]
+    lowered = text.lower()
+    if _BEYOND.search(lowered):
+        return regex.findall(_WORD, lowered)
+    return _basic_words().findall(lowered)
+
+
+@cache
+def _basic_words() -> re.Pattern:
+    """``_WORD`` for the basic plane, of which ``re`` makes one lookup table."""
+    import regex
+
+    plane = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x10000))))
+    found = (m.span() for m in regex.finditer(_WORD, plane[:0xD800]))
+    above = (m.span() for m in regex.finditer(_WORD, plane[0xD800:]))
+    runs = [*found, *((a + 0xE000, b + 0xE000) for a, b in above)]
+    return re.compile("[" + "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in runs) + "]+")
 
 
 def fit_latent(
@@ -102,77 +123,99 @@ def fit_latent(
     Words in fewer than two documents are no features. There are fewer dimensions where the
     vocabulary has fewer terms; without any, vectors have none.
     """
-    counted = counted_terms(terms_of(F.col(text_col))).alias("entries")
-    with materialized(df.where(F.col(text_col).isNotNull()).select(counted), "term-counts") as counts:
-        return _fit(counts, dimensions, terms, passes, seed)
-
-
-def _fit(counts: DataFrame, dimensions: int, terms: int, passes: int, seed: int) -> LatentModel:
-    n = counts.count()
-    frequency = counts.select(F.explode("entries.term").alias("term")).groupBy("term")
-    frequency = frequency.agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= LEAST_DOCUMENTS)
-    known = frequency.orderBy(F.desc("df"), "term").limit(terms).toArrow()
-    vocabulary, df_of = known["term"].to_pylist(), known["df"].to_numpy()
+    texts = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
+    frequency = texts.mapInArrow(_count_documents, _FREQUENCY).groupBy("term").agg(F.sum("df").alias("df"))
+    frequency = frequency.where(F.col("term").isNull() | (F.col("df") >= LEAST_DOCUMENTS))
+    known = frequency.orderBy(F.desc("df"), F.asc_nulls_first("term")).limit(terms + 1).toArrow()
+    if not len(known):
+        return LatentModel([], np.zeros(0), np.zeros((0, 0)), np.zeros(0))
+    # no term is in more documents than there are, so their number comes first
+    n, vocabulary = known["df"][0].as_py(), known["term"].to_pylist()[1:]
+    df_of = known["df"].to_numpy()[1:]
     idf = np.log((n + 1.0) / (df_of + 1.0))
     width = min(dimensions + EXTRA, len(vocabulary))
     if not width:
         return LatentModel([], idf, np.zeros((0, 0)), np.zeros(0))
 
     z = np.random.default_rng(seed).standard_normal((len(vocabulary), width))
-    for _ in range(passes):
-        q = np.linalg.qr(z)[0]
-        z = _gram_product(counts, vocabulary, idf, q)
+    with materialized(_looked_up(texts, vocabulary), "term-matrix") as matrix:
+        for _ in range(passes):
+            q = np.linalg.qr(z)[0]
+            z = _gram_product(matrix, idf, q)
     values, vectors = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
     leading = np.argsort(-values)[: min(dimensions, width)]
     return LatentModel(vocabulary, idf, q @ vectors[:, leading], np.sqrt(np.maximum(values[leading], 0.0)))
 
 
-def _matrix_rows(entries: pa.Array, vocabulary: pa.Array, idf: np.ndarray):
-    """Entries of X by document: documents' numbers, terms' places, weights."""
-    sizes = pc.list_value_length(entries).to_numpy(zero_copy_only=False)
-    flat = pc.list_flatten(entries)
-    place = pc.index_in(flat.field("term"), vocabulary)
-    known = place.is_valid().to_numpy(zero_copy_only=False)
-    document = np.repeat(np.arange(len(sizes)), sizes)[known]
-    place = place.drop_null().to_numpy(zero_copy_only=False)
-    weight = flat.field("tf").to_numpy(zero_copy_only=False)[known] * idf[place]
-    norm = np.sqrt(np.bincount(document, weight * weight, len(sizes)))[document]
-    return document, place, np.divide(weight, norm, out=np.zeros_like(weight), where=norm > 0)
+def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts each word is; under null, the number of texts."""
+    documents: Counter[str | None] = Counter()
+
+    def counted() -> pa.RecordBatch:
+        columns = [pa.array(documents.keys(), pa.string()), pa.array(documents.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["term", "df"])
 
+    for batch in batches:
+        for text in batch.column("text"):
+            documents.update({None, *words_of(text.as_py())})
+            if len(documents) >= _HELD:
+                yield counted()
+                documents.clear()
+    if documents:
+        yield counted()
+
+
+def _row(text: str, place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and counts of a text's known words, in order: equal counts give equal vectors."""
+    found = [p for p in map(place.get, words_of(text)) if p is not None]
+    at = np.array(found, np.int64)
+    at.sort()
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    return at[first], np.diff(np.append(first, len(at)))
+
+
+def _looked_up(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Places and counts of the known terms of every text that has any."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {t: i for i, t in enumerate(shared.value)}
+        for batch in batches:
+            rows = [_row(text.as_py(), place) for text in batch.column("text")]
+            rows = [(at, counts) for at, counts in rows if len(at)]
+            if rows:
+                bounds = pa.array(np.cumsum([0, *(len(at) for at, _ in rows)]), pa.int32())
+                lists = (pa.array(np.concatenate(x), pa.int32()) for x in zip(*rows, strict=True))
+                arrays = [pa.ListArray.from_arrays(bounds, x) for x in lists]
+                yield pa.RecordBatch.from_arrays(arrays, ["places", "counts"])
 
-def _sum_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the rows of equal, sorted keys."""
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(rows, first, axis=0)
+    return texts.mapInArrow(look_up, _MATRIX)
 
 
-def _add_products(z: np.ndarray, q: np.ndarray, document, place, weight) -> None:
+def _add_products(z: np.ndarray, q: np.ndarray, idf: np.ndarray, batch: pa.RecordBatch) -> None:
     """z += X'(Xq) for the documents of one batch."""
-    projected = np.zeros((int(document[-1]) + 1, q.shape[1]))
-    for at in range(0, len(document), _ENTRIES):
-        part = slice(at, at + _ENTRIES)
-        key, rows = _sum_by(document[part], weight[part, None] * q[place[part]])
-        projected[key] += rows
-    order = np.argsort(place, kind="stable")
-    for at in range(0, len(order), _ENTRIES):
-        part = order[at : at + _ENTRIES]
-        key, rows = _sum_by(place[part], weight[part, None] * projected[document[part]])
-        z[key] += rows
-
-
-def _gram_product(counts: DataFrame, vocabulary: list[str], idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    places, counts = batch.column("places"), batch.column("counts")
+    place = pc.list_flatten(places).to_numpy(zero_copy_only=False)
+    weight = pc.list_flatten(counts).to_numpy(zero_copy_only=False) * idf[place]
+    ends = np.cumsum(pc.list_value_length(places).to_numpy(zero_copy_only=False)).tolist()
+    for start, end in zip([0, *ends], ends):
+        at, row = place[start:end], weight[start:end]
+        square = row @ row
+        if square > 0:
+            z[at] += np.multiply.outer(row / square, row @ q.take(at, axis=0))
+
+
+def _gram_product(matrix: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     """X'(Xq), summed over all tasks by ranges of terms."""
-    spark = counts.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary, idf, q))
+    spark = matrix.sparkSession
+    shared = spark.sparkContext.broadcast((idf, q))
     shape = "part int, data binary"
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, basis = shared.value
-        known, z = pa.array(names, pa.string()), np.zeros_like(basis)
+        weights, basis = shared.value
+        z = np.zeros_like(basis)
         for batch in batches:
-            rows = _matrix_rows(batch.column("entries"), known, weights)
-            if len(rows[0]):
-                _add_products(z, basis, *rows)
+            _add_products(z, basis, weights, batch)
         for part in range(0, len(z), _RANGE):
             data = z[part : part + _RANGE]
             if data.any():
@@ -187,7 +230,7 @@ def _gram_product(counts: DataFrame, vocabulary: list[str], idf: np.ndarray, q:
         for part, data in sums.items():
             yield pa.RecordBatch.from_pylist([{"part": part, "data": data.tobytes()}], _PARTS)
 
-    parts = counts.mapInArrow(multiply, shape).repartition("part").mapInArrow(add, shape).collect()
+    parts = matrix.mapInArrow(multiply, shape).repartition("part").mapInArrow(add, shape).collect()
     z = np.zeros_like(q)
     for row in parts:  # terms / _RANGE rows
         data = np.frombuffer(row["data"], "float64").reshape(-1, q.shape[1])

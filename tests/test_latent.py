@@ -94,3 +94,44 @@ def test_nothing_to_learn(spark):
     for rows in ([], [(1, None)], [(1, "alone")]):
         model = latent.fit_latent(spark.createDataFrame(rows, "id long, t string"), "t")
         assert model.vocabulary == [] and model.encoder()()(["x"]).shape == (1, 0)
+
+
+def test_passes_read_places_not_terms(spark, monkeypatch):
+    """Terms are looked up once: what every pass reads has no strings, and rows of X times X' agree."""
+    read = []
+    product = latent._gram_product
+
+    def spied(matrix, idf, q):
+        read.append(matrix.dtypes)
+        z = product(matrix, idf, q)
+        rows = [(np.array(r["places"]), np.array(r["counts"])) for r in matrix.collect()]
+        x = np.zeros((len(rows), len(idf)))
+        for i, (places, counts) in enumerate(rows):
+            assert (np.diff(places) > 0).all()
+            x[i, places] = counts * idf[places]
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        assert z == pytest.approx(x.T @ (x @ q), abs=1e-12)
+        return z
+
+    monkeypatch.setattr(latent, "_gram_product", spied)
+    rows = [(1, "b a b"), (2, "c a"), (3, None), (4, "b c c c"), (5, "d"), (6, ""), (7, "A b, B")]
+    model = latent.fit_latent(spark.createDataFrame(rows, "id long, t string"), "t", passes=2)
+    assert model.vocabulary == ["a", "b", "c"]
+    assert model.idf == pytest.approx([math.log(7 / 4), math.log(7 / 4), math.log(7 / 3)])
+    assert read == [[("places", "array<int>"), ("counts", "array<int>")]] * 2
+
+
+def test_words_are_counted_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(latent, "_HELD", 3)
+    batch = latent.pa.record_batch({"text": ["a b", "b c c", "b"]})
+    parts = [b.to_pydict() for b in latent._count_documents(iter([batch]))]
+    total = Counter()
+    for part in parts:
+        total.update(dict(zip(part["term"], part["df"])))
+    assert len(parts) > 1 and total == {None: 3, "a": 1, "b": 3, "c": 1}
+
+
+@pytest.mark.parametrize("text", ["Año 1½_x", "éa‍b", "ΟΔΟΣ İx", "a\U0001d400b \U0001f600 \U00010330c", "a￿b"])
+def test_words_equal_the_class_of_the_index(text):
+    regex = pytest.importorskip("regex")
+    assert latent.words_of(text) == [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", text.lower()) if w]
