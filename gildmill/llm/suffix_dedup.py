@@ -5,7 +5,8 @@ So equal windows meet under the same gram, and grams that occur once need no fur
 windows of one gram occurrence form a stretch of text; equal stretches are counted before they
 are moved. What remains under a gram, its different stretches, is put into blocks of bounded
 size. A block gets a suffix array by two-stage sorting: only suffixes smaller than their
-successors are sorted directly, the others are induced by one scan over the buckets. Windows
+successors are sorted directly, the others are induced by one scan over the buckets. Only
+suffixes that begin a window are asked for, so most of a block's are never sorted. Windows
 whose neighbours in that order share 400 bytes with them repeat.
 
 A gram with very many different stretches (a passage that is everywhere, in other surroundings
@@ -162,24 +163,40 @@ def _bytes_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def smaller_than_next(data: np.ndarray) -> np.ndarray:
     """For each suffix: is it smaller than the one that starts a byte later?"""
     n = len(data)
-    change = np.flatnonzero(data[1:] != data[:-1])  # last places of runs but the final one
-    spot = np.searchsorted(change, np.arange(n))
-    after = np.append(change + 1, n)[spot]
+    ends = np.append(np.flatnonzero(data[1:] != data[:-1]) + 1, n)  # of runs of one byte
+    after = np.repeat(ends, np.diff(ends, prepend=0))
     following = np.append(data, 0)[after].astype(np.int64)
     following[after == n] = -1
     return data < following
 
 
-def suffix_array(data: bytes, depth: int = LENGTH) -> np.ndarray:
-    """Suffixes in order of at least their first ``depth`` bytes, by two-stage sorting."""
+def _reached(wanted: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """The wanted suffixes and those that place them: on to the next that is sorted directly."""
+    n = len(wanted)
+    first = np.flatnonzero(wanted & ~np.append(False, wanted[:-1]))
+    last = np.flatnonzero(wanted & ~np.append(wanted[1:], False))
+    settled = np.append(np.flatnonzero(small), n - 1)  # the whole's last suffix is given
+    edges = np.zeros(n + 1, np.int64)
+    edges[first] += 1
+    np.subtract.at(edges, settled[np.searchsorted(settled, last)] + 1, 1)
+    return np.cumsum(edges[:n]) > 0
+
+
+def suffix_array(data: bytes, depth: int = LENGTH, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes in order of at least their first ``depth`` bytes, by two-stage sorting.
+
+    With ``wanted``, a flag for each suffix, only these are returned.
+    """
     text = np.frombuffer(data, np.uint8)
     n = len(text)
     if not n:
         return np.empty(0, np.int64)
     small = smaller_than_next(text)
+    reached = np.ones(n, bool) if wanted is None else _reached(wanted, small)
+    large = reached & ~small
     # stage 1: sort the smaller-than-next suffixes directly
     direct = np.array(
-        sorted(np.flatnonzero(small).tolist(), key=lambda i: data[i : i + depth]), dtype=np.int64
+        sorted(np.flatnonzero(reached & small).tolist(), key=lambda i: data[i : i + depth]), dtype=np.int64
     )
     heads = text[direct]
     order = np.argsort(heads, kind="stable")
@@ -187,8 +204,9 @@ def suffix_array(data: bytes, depth: int = LENGTH) -> np.ndarray:
     edges = np.searchsorted(heads, np.arange(257))
     # stage 2: scan the buckets upwards; each suffix places its predecessor, if that is larger
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[text[n - 1]].append(np.array([n - 1], np.int64))
-    out = []
+    if reached[n - 1]:
+        waiting[text[n - 1]].append(np.array([n - 1], np.int64))
+    out = [np.empty(0, np.int64)]
     for c in range(256):
         mine = direct[edges[c] : edges[c + 1]]
         layer = np.concatenate(waiting[c]) if waiting[c] else np.empty(0, np.int64)
@@ -198,11 +216,11 @@ def suffix_array(data: bytes, depth: int = LENGTH) -> np.ndarray:
         while len(layer):  # runs of one byte place their own predecessors
             induced.append(layer)
             before = layer[layer > 0] - 1
-            layer = before[(text[before] == c) & ~small[before]]
+            layer = before[(text[before] == c) & large[before]]
         bucket = np.concatenate([*induced, mine])
         out.append(bucket)
         before = bucket[bucket > 0] - 1
-        before = before[(text[before] > c) & ~small[before]]
+        before = before[(text[before] > c) & large[before]]
         if len(before):
             targets = text[before]
             order = np.argsort(targets, kind="stable")
@@ -210,7 +228,8 @@ def suffix_array(data: bytes, depth: int = LENGTH) -> np.ndarray:
             cuts = np.flatnonzero(np.diff(targets)) + 1
             for part in np.split(before, cuts):
                 waiting[text[part[0]]].append(part)
-    return np.concatenate(out)
+    order = np.concatenate(out)
+    return order if wanted is None else order[wanted[order]]
 
 
 def common_prefixes(data: bytes, order: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -249,17 +268,18 @@ def repeated_windows(pieces: list[bytes], counts: list[int], length: int = LENGT
     A piece that stands for several copies repeats whole.
     """
     data = b"\xff".join(pieces)  # a byte that UTF-8 has not
-    order = suffix_array(data, length)
+    windows = np.array([max(0, len(piece) - length + 1) for piece in pieces], np.int64)
+    begins = np.cumsum([0, *(len(piece) + 1 for piece in pieces)])[:-1]
+    owner, place = ranges_of(windows)
+    wanted = np.zeros(len(data), bool)
+    wanted[begins[owner] + place] = True
+    order = suffix_array(data, length, wanted)
     same = common_prefixes(data, order, length) >= length
     flags = np.zeros(len(data) + 1, bool)
     flags[order[same]] = True
     flags[order[np.flatnonzero(same) - 1]] = True
-    out, at = [], 0
-    for piece, n in zip(pieces, counts, strict=True):
-        windows = max(0, len(piece) - length + 1)
-        out.append(flags[at : at + windows] | (n > 1))
-        at += len(piece) + 1
-    return out
+    parts = zip(begins.tolist(), windows.tolist(), counts, strict=True)
+    return [flags[at : at + held] | (n > 1) for at, held, n in parts]
 
 
 def runs_of(flags: np.ndarray) -> list[dict]:
